@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import checks as C
 from . import queries as Q
 from . import reports as R
 from .warehouse import DEFAULT_AS_OF, warehouse_for
@@ -35,5 +36,51 @@ def analytic_queries() -> dict[str, Runner]:
     return out
 
 
+def _check(spec) -> Runner:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spec.spark(warehouse_for(spark, sf_dir))
+    run.__name__ = spec.name
+    return run
+
+
+def _table(builder) -> Runner:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return builder(warehouse_for(spark, sf_dir))
+    return run
+
+
+def _latest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.testdata import load_tables
+    return C.latest_lineitem(load_tables(spark, sf_dir, ("lineitem",))["lineitem"])
+
+
+def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.suite(warehouse_for(spark, sf_dir))
+
+
+def table_queries() -> dict[str, Runner]:
+    out = {name: _table(b) for name, (b, _) in C.TABLES.items()}
+    out["e01_latest_lineitem"] = _latest_lineitem
+    return out
+
+
+def check_queries() -> dict[str, Runner]:
+    out = {f"dq_{c.name}": _check(c) for c in C.CHECKS}
+    out["dq_suite"] = _suite
+    return out
+
+
 def all_queries() -> dict[str, Runner]:
-    return dict(analytic_queries())
+    return {**analytic_queries(), **table_queries(), **check_queries()}
+
+
+def all_sql() -> dict[str, str]:
+    from .oracle import PIPELINE, QUERIES
+    out = dict(QUERIES)
+    for name, (_, sql) in C.TABLES.items():
+        out[name] = PIPELINE + "\n" + sql
+    out["e01_latest_lineitem"] = C.LATEST_LINEITEM_SQL
+    for c in C.CHECKS:
+        out[f"dq_{c.name}"] = PIPELINE + "\n" + c.sql.format(as_of=DEFAULT_AS_OF)
+    out["dq_suite"] = PIPELINE + "\n" + C.suite_sql(DEFAULT_AS_OF)
+    return out

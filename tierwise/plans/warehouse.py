@@ -30,6 +30,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self.bronze: dict[str, DataFrame] = {}
         self.silver: dict[str, DataFrame] = {}
         self.gold: dict[str, DataFrame] = {}
 
@@ -41,6 +42,7 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
             scalable_keys: bool = True, fix_gender_case: bool = False) -> Warehouse:
     root = root or scratch_path(spark, "refresh")
     wh = Warehouse(spark, root)
+    wh.bronze = dict(bronze)
     silver = build_silver(bronze, as_of, fix_gender_case)
     for name, df in silver.items():
         write_layer(with_audit(df), root, "silver", name)
@@ -65,5 +67,6 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF)
         wh = _CACHE.get(key)
         if wh is None:
             wh = refresh(spark, testdata.bronze_from_testdata(spark, sf_dir), as_of=as_of)
+            wh.as_of = as_of
             _CACHE[key] = wh
         return wh
