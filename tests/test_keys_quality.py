@@ -12,7 +12,7 @@ def test_scalable_key_matches_global_row_number(spark):
             for i in range(1000)]
     df = spark.createDataFrame(data, "a int, b int, id int")
     order = [F.col("a").asc_nulls_last(), F.col("b").desc_nulls_first(), F.col("id").asc_nulls_last()]
-    fast = {r.id: r.k for r in with_surrogate_key(df, order, "k", num_partitions=7).collect()}
+    fast = {r.id: r.k for r in with_surrogate_key(df, order, "k", num_partitions=7, global_max_bytes=None).collect()}
     slow = {r.id: r.k for r in with_row_number_key(df, order, "k").collect()}
     assert fast == slow
     assert sorted(fast.values()) == list(range(1, 1001))
@@ -20,7 +20,7 @@ def test_scalable_key_matches_global_row_number(spark):
 
 def test_scalable_key_skewed_single_value(spark):
     df = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 1000)], "a int, id int")
-    out = with_surrogate_key(df, [F.col("a"), F.col("id")], "k", num_partitions=4)
+    out = with_surrogate_key(df, [F.col("a"), F.col("id")], "k", num_partitions=4, global_max_bytes=None)
     assert sorted(r.k for r in out.collect()) == list(range(1, 302))
     assert out.where("a = 2").first().k == 301
 
@@ -64,3 +64,10 @@ def test_untrimmed_and_too_long(spark):
     df = spark.createDataFrame([(" a", "b"), ("c", "x" * 51)], "s string, t string")
     assert [tuple(r) for r in K.untrimmed(df, ["s", "t"]).collect()] == [("s", " a")]
     assert [r.column for r in K.too_long(df, ["s", "t"]).collect()] == ["t"]
+
+
+def test_small_input_takes_global_path(spark):
+    from tierwise.operators.keys import planned_size_bytes
+    df = spark.range(10).select(F.col("id").cast("int").alias("id"))
+    assert planned_size_bytes(df) < 1024
+    assert [r.k for r in with_surrogate_key(df, [F.col("id")], "k").orderBy("id").collect()] == list(range(1, 11))

@@ -28,9 +28,28 @@ from ..session import shared_root
 _PID, _POS, _OFF = "_sk_pid", "_sk_pos", "_sk_off"
 
 
+# Inputs whose planned size is below this are numbered with one global window
+# (a single sorted task of at most this many bytes); larger ones take the
+# distributed path. Both give identical keys.
+GLOBAL_NUMBERING_MAX_BYTES = 16 * 1024 * 1024
+
+
+def planned_size_bytes(df: DataFrame) -> int | None:
+    """Optimizer's size estimate of ``df`` (upper bound without CBO), or None if unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle, take the distributed path
+        return None
+
+
 def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None,
+                       global_max_bytes: int | None = GLOBAL_NUMBERING_MAX_BYTES) -> DataFrame:
     """Add a dense ``bigint`` key 1..n following ``order`` (NULL placement as given)."""
+    if global_max_bytes:
+        size = planned_size_bytes(df)
+        if size is not None and size <= global_max_bytes:
+            return with_row_number_key(df, order, name)
     spark = df.sparkSession
     shared_root(spark)  # make sure a (shared) checkpoint folder is registered
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

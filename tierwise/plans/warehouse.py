@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,21 +39,35 @@ class Warehouse:
         return (self.silver if layer == "silver" else self.gold)[name]
 
 
+def _write_all(spark: SparkSession, root: str, layer: str, frames: dict[str, DataFrame],
+               parallel: int) -> dict[str, DataFrame]:
+    """Write independent tables of one layer as concurrent jobs; return them read back."""
+    def one(item):
+        name, df = item
+        write_layer(df, root, layer, name)
+        return name, read_layer(spark, root, layer, name)
+    if parallel <= 1 or len(frames) == 1:
+        return dict(map(one, frames.items()))
+    with ThreadPoolExecutor(max_workers=min(parallel, len(frames))) as pool:
+        return dict(pool.map(one, frames.items()))
+
+
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, as_of=None,
-            scalable_keys: bool = True, fix_gender_case: bool = False) -> Warehouse:
+            scalable_keys: bool = True, fix_gender_case: bool = False, parallel: int = 6) -> Warehouse:
+    """Truncate-and-load every layer: bronze, silver (with audit column), then gold.
+
+    Tables of one layer are independent, so they are written as concurrent
+    jobs; each layer is read back from its files, which cuts the lineage.
+    """
     root = root or scratch_path(spark, "refresh")
     wh = Warehouse(spark, root)
-    wh.bronze = dict(bronze)
-    silver = build_silver(bronze, as_of, fix_gender_case)
-    for name, df in silver.items():
-        write_layer(with_audit(df), root, "silver", name)
-        wh.silver[name] = read_layer(spark, root, "silver", name)
+    wh.bronze = _write_all(spark, root, "bronze", bronze, parallel)
+    silver = build_silver(wh.bronze, as_of, fix_gender_case)
+    wh.silver = _write_all(spark, root, "silver", {k: with_audit(v) for k, v in silver.items()}, parallel)
     s = {k: v.drop(AUDIT_COL) for k, v in wh.silver.items()}
-    for name, build in (("dim_customers", G.dim_customers), ("dim_products", G.dim_products)):
-        write_layer(build(s, scalable_keys), root, "gold", name)
-        wh.gold[name] = read_layer(spark, root, "gold", name)
-    write_layer(G.fact_sales(s, wh.gold), root, "gold", "fact_sales")
-    wh.gold["fact_sales"] = read_layer(spark, root, "gold", "fact_sales")
+    dims = {"dim_customers": G.dim_customers(s, scalable_keys), "dim_products": G.dim_products(s, scalable_keys)}
+    wh.gold = _write_all(spark, root, "gold", dims, parallel)
+    wh.gold.update(_write_all(spark, root, "gold", {"fact_sales": G.fact_sales(s, wh.gold)}, 1))
     return wh
 
 
