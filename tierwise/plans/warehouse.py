@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import testdata
-from ..sources.bronze import read_layer, with_audit, write_layer
+from ..sources.bronze import ensure_layers, publish_table, read_layer, with_audit, write_layer
 from ..sources.schemas import AUDIT_COL
 from ..session import scratch_path
 from . import gold as G
@@ -36,7 +36,20 @@ class Warehouse:
         self.gold: dict[str, DataFrame] = {}
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return (self.silver if layer == "silver" else self.gold)[name]
+        return {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer][name]
+
+    def publish(self, as_of=None) -> list[str]:
+        """Register every layer in the session catalog: ``bronze.*``, ``silver.*``,
+        ``gold.dim_customers`` ... plus the two report views as temp views
+        ``report_customers`` / ``report_products`` (S4, S7)."""
+        from .reports import customer_report, product_report
+        ensure_layers(self.spark, root=self.root)
+        names = [publish_table(self.spark, self.root, layer, t)
+                 for layer, frames in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold))
+                 for t in frames]
+        customer_report(self.gold, as_of).createOrReplaceTempView("report_customers")
+        product_report(self.gold, as_of).createOrReplaceTempView("report_products")
+        return names + ["report_customers", "report_products"]
 
 
 def _write_all(spark: SparkSession, root: str, layer: str, frames: dict[str, DataFrame],

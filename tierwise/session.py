@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -27,6 +28,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    # Local sessions only: keep the catalog's default location out of the cwd.
+    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tierwise-warehouse-"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -38,10 +38,18 @@ def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | N
     return {t: read_bronze(spark, os.path.join(landing, f), t) for t, f in files.items()}
 
 
-def ensure_layers(spark: SparkSession, layers=LAYERS) -> None:
-    """``CREATE SCHEMA IF NOT EXISTS`` for each layer."""
+def ensure_layers(spark: SparkSession, layers=LAYERS, root: str | None = None) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS`` for each layer (S4), optionally located under ``root``."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        loc = f" LOCATION '{os.path.join(root, 'catalog', layer)}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{loc}")
+
+
+def publish_table(spark: SparkSession, root: str, layer: str, table: str) -> str:
+    """Expose a materialised table as the catalog view ``layer.table``."""
+    path = os.path.join(root, layer, table)
+    spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT * FROM parquet.`{path}`")
+    return f"{layer}.{table}"
 
 
 def with_audit(df: DataFrame) -> DataFrame:
