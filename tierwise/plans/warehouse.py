@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import testdata
-from ..sources.bronze import ensure_layers, publish_table, read_layer, with_audit, write_layer
+from ..sources.bronze import ensure_layers, publish_table, read_all_bronze, read_layer, with_audit, write_layer
 from ..sources.schemas import AUDIT_COL
 from ..session import scratch_path
 from . import gold as G
@@ -84,6 +84,12 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     return wh
 
 
+def refresh_from_csv(spark: SparkSession, landing: str, root: str | None = None, as_of=None,
+                     files: dict[str, str] | None = None, **kw) -> Warehouse:
+    """The source warehouse's own flow: CSV extracts in ``landing`` -> bronze -> silver -> gold."""
+    return refresh(spark, read_all_bronze(spark, landing, files), root=root, as_of=as_of, **kw)
+
+
 _CACHE: dict[tuple, Warehouse] = {}
 _LOCK = threading.Lock()
 
