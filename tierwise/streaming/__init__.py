@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The source warehouse loads batch extracts by full refresh (truncate and
+insert); it has no event time, watermarks, state or late data. Its refresh is
+implemented in :mod:`tierwise.plans.warehouse`.
+"""
