@@ -65,6 +65,22 @@ def customer_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool
     return out.select(*REPORT_CUSTOMERS)
 
 
+def _avg_selling_price(f: DataFrame) -> DataFrame:
+    """``ROUND(AVG(sales / NULLIF(quantity, 0)), 2)`` per product, exact.
+
+    sum_i(s_i / q_i) == sum_q(sum_{i: q_i = q} s_i) / q, so sales are first
+    summed per (product, quantity) in 64-bit integers and the decimal divisions
+    only run on those aggregated rows, not once per sale.
+    """
+    valid = f.where(F.col("sales_amount").isNotNull() & F.col("quantity").isNotNull() & (F.col("quantity") != 0))
+    per_qty = valid.groupBy("product_key", "quantity").agg(
+        F.sum(F.col("sales_amount").cast("bigint")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    per_key = per_qty.groupBy("product_key").agg(
+        F.sum(exact_ratio("_s", "quantity")).alias("_num"), F.sum("_n").alias("_cnt"))
+    return per_key.select(F.col("product_key").alias("_asp_key"),
+                          round2(F.col("_num") / F.col("_cnt").cast(EXACT)).alias("avg_selling_price"))
+
+
 def product_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool = False) -> DataFrame:
     now = as_of_col(as_of)
     f = gold["fact_sales"].where(F.col("order_date").isNotNull())
@@ -75,8 +91,9 @@ def product_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool =
         F.count_distinct("customer_key").alias("total_customers"),
         F.sum("sales_amount").alias("total_sales"),
         F.sum("quantity").alias("total_quantity"),
-        round2(F.avg(exact_ratio("sales_amount", F.nullif(F.col("quantity"), F.lit(0))))).alias("avg_selling_price"),
     )
+    asp = _avg_selling_price(f)
+    per_key = per_key.join(asp, per_key["product_key"].eqNullSafe(asp["_asp_key"]), "left").drop("_asp_key")
     p = gold["dim_products"].select("product_key", "product_name", "category", "subcategory", "cost")
     # The reference groups on the dimension's key: unmatched fact keys form one NULL group.
     j = per_key.join(p.withColumnRenamed("product_key", "_pk"), F.col("product_key") == F.col("_pk"), "left") \
