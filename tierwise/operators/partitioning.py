@@ -1,0 +1,32 @@
+"""Input parallelism guard.
+
+A scan is split by files and row groups. A large table on a cluster has
+thousands of splits; a small single-row-group file has one, and then every
+operator pipelined onto that scan (projections, broadcast joins, the write)
+runs in one task. :func:`ensure_parallelism` adds a round-robin exchange only
+in that case: it never fires on inputs that already have enough splits, and
+round-robin placement cannot concentrate a hot key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def scan_partitions(df: DataFrame) -> int | None:
+    """Number of partitions the plan of ``df`` produces (metadata only, no job)."""
+    try:
+        return int(df._jdf.rdd().getNumPartitions())
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
+        return None
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition ``df`` when it has fewer partitions than ``min_partitions``
+    (default: the cluster's default parallelism)."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    n = scan_partitions(df)
+    if n is not None and n < target:
+        return df.repartition(target)
+    return df

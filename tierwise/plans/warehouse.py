@@ -58,7 +58,7 @@ def _write_all(spark: SparkSession, root: str, layer: str, frames: dict[str, Dat
     def one(item):
         name, df = item
         write_layer(df, root, layer, name)
-        return name, read_layer(spark, root, layer, name)
+        return name, read_layer(spark, root, layer, name, df.schema)
     if parallel <= 1 or len(frames) == 1:
         return dict(map(one, frames.items()))
     with ThreadPoolExecutor(max_workers=min(parallel, len(frames))) as pool:

@@ -68,8 +68,10 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str,
     return path
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, layer, table))
+def read_layer(spark: SparkSession, root: str, layer: str, table: str, schema=None) -> DataFrame:
+    """Read a materialised table; with the writer's ``schema`` no inference job is needed."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(os.path.join(root, layer, table))
 
 
 def register_views(frames: dict[str, DataFrame], prefix: str = "") -> None:

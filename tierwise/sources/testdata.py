@@ -28,6 +28,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import ensure_parallelism
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # Fixed values of the binding (shared with the SQL oracle).
@@ -38,8 +40,13 @@ START_CYCLE_DAYS = 7300         # start = epoch + (partkey % cycle) days + (part
 DUE_DAYS = 90                   # due date = order date + 90 days
 
 
+# Tables large enough to be worth spreading when their files yield few splits.
+FACT_TABLES = ("orders", "lineitem")
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
+    out = {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
+    return {n: ensure_parallelism(df) if n in FACT_TABLES else df for n, df in out.items()}
 
 
 def _customer_number(key: Column, prefix: str = "AW") -> Column:
