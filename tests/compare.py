@@ -32,6 +32,24 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR",
+                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                  "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN"}
+
+
+def spark_types(df) -> dict[str, str]:
+    out = {}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        out[f.name] = _SPARK_TO_DUCK.get(t, t.upper().replace("DECIMAL", "DECIMAL"))
+    return out
+
+
+def oracle_types(con, sql: str) -> dict[str, str]:
+    rel = con.sql(sql)
+    return {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def oracle_connection(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -67,8 +85,11 @@ def main(argv):
         hs, ls = digest(cols, srows)
         ho, lo = digest(ocols, orows)
         ok = sorted(cols) == sorted(ocols) and len(srows) == len(orows) and hs == ho
+        st, ot = spark_types(df), oracle_types(con, sql[name])
+        type_diff = {c: (st[c], ot.get(c)) for c in st if st[c] != ot.get(c)}
         bad += not ok
-        print(f"{name:40s} spark={len(srows):7d} oracle={len(orows):7d} {'OK ' if ok else 'BAD'} {ts:.2f}s")
+        print(f"{name:40s} spark={len(srows):7d} oracle={len(orows):7d} {'OK ' if ok else 'BAD'} {ts:.2f}s"
+              + (f"  types differ: {type_diff}" if type_diff else ""))
         if not ok:
             if sorted(cols) != sorted(ocols):
                 print("   cols", sorted(cols), sorted(ocols))

@@ -107,7 +107,7 @@ def whole_months(later: ColumnOrName, earlier: ColumnOrName) -> Column:
 
 def age_years(as_of: ColumnOrName, birth: ColumnOrName) -> Column:
     """``EXTRACT(YEAR FROM AGE(as_of, birth))``: whole years, truncated."""
-    return int_div(whole_months(as_of, birth), F.lit(12))
+    return int_div(whole_months(as_of, birth), F.lit(12)).cast("int")
 
 
 def null_after(c: ColumnOrName, as_of: ColumnOrName) -> Column:
