@@ -71,3 +71,19 @@ def test_quality_suite_flags_orphans(wh):
     assert got["k01_duplicate_customer_ids"] == 2
     assert got["k05_cost_null_or_negative"] == 2
     assert got["k13_future_birthdates"] == 1
+
+
+def test_quoted_empty_is_empty_string(spark, tmp_path):
+    from tierwise.sources.bronze import read_bronze
+    p = tmp_path / "loc.csv"
+    p.write_text('cid,cntry\r\nAW-1,""\r\nAW-2,\r\n"",DE\r\n')
+    got = [tuple(r) for r in read_bronze(spark, str(p), "erp_loc_a101").collect()]
+    assert got == [("AW-1", ""), ("AW-2", None), ("", "DE")]
+
+
+def test_malformed_row_fails_the_load(spark, tmp_path):
+    from tierwise.sources.bronze import read_bronze
+    p = tmp_path / "cat.csv"
+    p.write_text("id,cat,subcat,maintenance\r\nA,B,C,D\r\nonly,three,fields\r\n")
+    with pytest.raises(Exception):
+        read_bronze(spark, str(p), "erp_px_cat_g1v2").collect()

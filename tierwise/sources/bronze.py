@@ -16,21 +16,29 @@ from .schemas import AUDIT_COL, BRONZE, BRONZE_FILES
 
 LAYERS = ("bronze", "silver", "gold")
 
+# Marker for a quoted empty field while parsing; never survives the read.
+_QUOTED_EMPTY = "\u0001"
+
 
 def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
     """CSV extract -> typed bronze DataFrame.
 
     Header skipped, columns taken by position against the declared schema,
-    and any malformed row fails the load (``COPY`` semantics). An unquoted
-    empty field reads as NULL.
+    and any malformed row fails the load (``COPY`` semantics). As in
+    ``COPY ... FORMAT csv``, an unquoted empty field is NULL while a quoted
+    empty field (``""``) is an empty string.
     """
-    return (spark.read.schema(BRONZE[table])
-            .option("header", True)
-            .option("enforceSchema", True)
-            .option("mode", "FAILFAST")
-            .option("dateFormat", "yyyy-MM-dd")
-            .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
-            .csv(path))
+    schema = BRONZE[table]
+    df = (spark.read.schema(schema)
+          .option("header", True)
+          .option("enforceSchema", True)
+          .option("mode", "FAILFAST")
+          .option("emptyValue", _QUOTED_EMPTY)
+          .option("dateFormat", "yyyy-MM-dd")
+          .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
+          .csv(path))
+    text = [f.name for f in schema.fields if f.dataType.simpleString() == "string"]
+    return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)) for c in text})
 
 
 def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
