@@ -1,0 +1,35 @@
+"""The SQL interface gives the same answers as the DataFrame operators."""
+import os
+
+import pytest
+
+from compare import digest
+from tierwise.plans import sql_api
+from tierwise.plans.registry import analytic_queries
+from tierwise.plans.warehouse import warehouse_for
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables absent")
+
+
+def test_sql_questions_match_dataframe_questions(spark):
+    wh = warehouse_for(spark, SF)
+    wh.publish("2002-01-01")
+    frames = analytic_queries()
+    bad = []
+    for name in sql_api.QUERIES:
+        a = frames[name](spark, SF)
+        b = sql_api.run_sql(spark, name, "2002-01-01")
+        if sorted(a.columns) != sorted(b.columns) or \
+                digest(a.columns, [tuple(r) for r in a.collect()])[0] != \
+                digest(b.columns, [tuple(r) for r in b.collect()])[0]:
+            bad.append(name)
+    assert bad == []
+
+
+def test_age_functions(spark):
+    sql_api.register_functions(spark)
+    r = spark.sql("SELECT age_months(DATE'2013-02-28', DATE'2013-01-31') a, "
+                  "age_months(DATE'2013-01-31', DATE'2013-03-01') b, "
+                  "age_years(DATE'2002-01-01', DATE'1971-10-06') c, pct_text(396, 1000) d").first()
+    assert tuple(r) == (0, -1, 30, "39.60%")

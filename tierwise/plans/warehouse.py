@@ -43,7 +43,9 @@ class Warehouse:
         ``gold.dim_customers`` ... plus the two report views as temp views
         ``report_customers`` / ``report_products`` (S4, S7)."""
         from .reports import customer_report, product_report
+        from .sql_api import register_functions
         ensure_layers(self.spark, root=self.root)
+        register_functions(self.spark)
         names = [publish_table(self.spark, self.root, layer, t)
                  for layer, frames in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold))
                  for t in frames]
