@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 def scan_partitions(df: DataFrame) -> int | None:
     """Number of partitions the plan of ``df`` produces (metadata only, no job)."""
     try:
-        return int(df._jdf.rdd().getNumPartitions())
+        return df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
         return None
 

@@ -59,7 +59,7 @@ def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_queries() -> dict[str, Runner]:
-    out = {name: _table(b) for name, (b, _) in C.TABLES.items()}
+    out = {name: _table(b) for name, (b, _) in {**C.TABLES, **C.OPERATORS}.items()}
     out["e01_latest_lineitem"] = _latest_lineitem
     return out
 
@@ -75,11 +75,15 @@ def all_queries() -> dict[str, Runner]:
 
 
 def all_sql() -> dict[str, str]:
-    from .oracle import PIPELINE, QUERIES
+    from .oracle import PIPELINE, QUERIES, int_date
     out = dict(QUERIES)
     for name, (_, sql) in C.TABLES.items():
         out[name] = PIPELINE + "\n" + sql
     out["e01_latest_lineitem"] = C.LATEST_LINEITEM_SQL
+    for name, (_, sql) in C.OPERATORS.items():
+        body = sql.format(as_of=DEFAULT_AS_OF, **{c: int_date(c) for c in ("sls_order_dt", "sls_ship_dt",
+                                                                            "sls_due_dt")})
+        out[name] = PIPELINE + "\n" + body
     for c in C.CHECKS:
         out[f"dq_{c.name}"] = PIPELINE + "\n" + c.sql.format(as_of=DEFAULT_AS_OF)
     out["dq_suite"] = PIPELINE + "\n" + C.suite_sql(DEFAULT_AS_OF)

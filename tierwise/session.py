@@ -45,7 +45,7 @@ def shared_root(spark: SparkSession) -> str:
     private directory is created and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc._conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
