@@ -71,3 +71,22 @@ def test_small_input_takes_global_path(spark):
     df = spark.range(10).select(F.col("id").cast("int").alias("id"))
     assert planned_size_bytes(df) < 1024
     assert [r.k for r in with_surrogate_key(df, [F.col("id")], "k").orderBy("id").collect()] == list(range(1, 11))
+
+
+def test_skew_safe_validity_end_matches_window(spark):
+    import datetime as dt
+
+    from tierwise.operators.cleansing import add_valid_to
+    rnd = random.Random(11)
+    base = dt.datetime(2000, 1, 1)
+    rows = []
+    for i in range(1500):
+        key = "HOT" if i % 3 == 0 else rnd.choice([None, "A", "B", "C", "D"])   # one key holds a third
+        start = None if rnd.random() < 0.05 else base + dt.timedelta(days=rnd.randint(0, 400))
+        rows.append((i, key, start))
+    df = spark.createDataFrame(rows, "prd_id int, prd_key string, prd_start_dt timestamp_ntz")
+    fast = {r.prd_id: r.end for r in add_valid_to(df, "prd_key", "prd_start_dt", "end", ["prd_id"],
+                                                  skew_safe=True).collect()}
+    slow = {r.prd_id: r.end for r in add_valid_to(df, "prd_key", "prd_start_dt", "end", ["prd_id"],
+                                                  skew_safe=False).collect()}
+    assert fast == slow and len(fast) == 1500

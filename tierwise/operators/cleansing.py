@@ -98,15 +98,32 @@ def repair_location_id(c) -> Column:
     return remove_chars(c, "-")
 
 
-def add_valid_to(df: DataFrame, key: str, start: str, out: str) -> DataFrame:
+# Inputs planned under this size run the plain window (all rows of a key in one
+# task is harmless there); larger inputs use the range-partitioned form, which
+# splits a key holding a large share of the rows over many tasks.
+WINDOW_MAX_BYTES = 16 * 1024 * 1024
+
+
+def add_valid_to(df: DataFrame, key: str, start: str, out: str, tiebreak: Sequence[str] = (),
+                 skew_safe: bool | None = None) -> DataFrame:
     """Validity interval end = next version's start - 1 day, as a date.
 
     The LEAD runs on the start column as given (timestamp in bronze); the
     result is cast to date, exactly like ``CAST(LEAD(start) - 1 day AS DATE)``.
+    ``tiebreak`` columns make the order total when two versions share a start.
+    ``skew_safe`` None decides by the planned input size.
     """
-    w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_last())
-    nxt = F.lead(F.col(start)).over(w)
-    return df.withColumn(out, (nxt - F.expr("INTERVAL 1 DAY")).cast("date"))
+    from .keys import planned_size_bytes
+    from .ordered import lead_within_key
+    order = [F.col(start).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
+    if skew_safe is None:
+        size = planned_size_bytes(df)
+        skew_safe = size is None or size > WINDOW_MAX_BYTES
+    if skew_safe:
+        nxt = lead_within_key(df, key, order, start, "_next_start")
+    else:
+        nxt = df.withColumn("_next_start", F.lead(F.col(start)).over(Window.partitionBy(key).orderBy(*order)))
+    return nxt.withColumn(out, (F.col("_next_start") - F.expr("INTERVAL 1 DAY")).cast("date")).drop("_next_start")
 
 
 def zero_if_null(c) -> Column:

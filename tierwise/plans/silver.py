@@ -36,7 +36,8 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
 
 def silver_products(bronze: DataFrame) -> DataFrame:
     """Split key, cost default 0, line label, validity end from the next start."""
-    with_end = C.add_valid_to(bronze, "prd_key", "prd_start_dt", "_valid_to")  # LEAD on the full key
+    # LEAD on the full source key; prd_id breaks ties between versions with the same start.
+    with_end = C.add_valid_to(bronze, "prd_key", "prd_start_dt", "_valid_to", tiebreak=["prd_id"])
     split = C.split_product_key(with_end, "prd_key")
     return split.select(
         "prd_id", "cat_id", "prd_key", "prd_nm",
