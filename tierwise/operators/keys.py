@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from .ordered import PID, pinned_sort
 
 _PID, _POS, _OFF = "_sk_pid", "_sk_pos", "_sk_off"
 
@@ -50,18 +50,14 @@ def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str,
         size = planned_size_bytes(df)
         if size is not None and size <= global_max_bytes:
             return with_row_number_key(df, order, name)
-    spark = df.sparkSession
-    shared_root(spark)  # make sure a (shared) checkpoint folder is registered
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    # Reliable checkpoint: written to spark.checkpoint.dir, survives executor loss
-    # and pins the partition boundaries chosen by the range exchange's sample.
-    fixed = ordered.checkpoint(eager=True)
+    # Reliable checkpoint (spark.checkpoint.dir): survives executor loss and pins
+    # the partition boundaries chosen by the range exchange's sample.
+    fixed = pinned_sort(df, order, num_partitions)
     positioned = fixed.select(
         "*",
-        F.spark_partition_id().alias(_PID),
-        (F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)).alias(_POS),
-    )
+        F.col(PID).alias(_PID),
+        (F.monotonically_increasing_id() - F.shiftleft(F.col(PID).cast("bigint"), 33)).alias(_POS),
+    ).drop(PID)
     counts = positioned.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         _PID,
