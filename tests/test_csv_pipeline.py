@@ -43,9 +43,7 @@ def wh(spark, tmp_path_factory):
         (d / name).write_text(text.replace("\n", "\r\n"))
     files = {"crm_cust_info": "cust_info.csv", "crm_prd_info": PRD, "crm_sales_details": "sales_details.csv",
              "erp_loc_a101": "loc_a101.csv", "erp_cust_az12": "cust_az12.csv", "erp_px_cat_g1v2": CAT}
-    w = refresh_from_csv(spark, str(d), str(tmp_path_factory.mktemp("out")), "2025-06-01", files=files)
-    w.as_of = "2025-06-01"
-    return w
+    return refresh_from_csv(spark, str(d), str(tmp_path_factory.mktemp("out")), "2025-06-01", files=files)
 
 
 def test_gold_from_csv(wh):
@@ -65,7 +63,8 @@ def test_gold_from_csv(wh):
 
 
 def test_quality_suite_flags_orphans(wh):
-    got = {r.check: r.violations for r in suite(wh).collect()}
+    got = {r.check: r.violations for r in wh.quality.collect()}
+    assert got == {r.check: r.violations for r in suite(wh).collect()}
     assert got["k09_orphan_fact_customers"] == 1 and got["k09_orphan_fact_products"] == 1
     assert got["k08_orphan_sales_products"] == 1
     assert got["k01_duplicate_customer_ids"] == 2
@@ -87,3 +86,26 @@ def test_malformed_row_fails_the_load(spark, tmp_path):
     p.write_text("id,cat,subcat,maintenance\r\nA,B,C,D\r\nonly,three,fields\r\n")
     with pytest.raises(Exception):
         read_bronze(spark, str(p), "erp_px_cat_g1v2").collect()
+
+
+def test_command_line_refresh(spark, tmp_path, capsys):
+    import json
+
+    from tierwise.__main__ import main
+    crm, erp = tmp_path / "source_crm", tmp_path / "source_erp"
+    crm.mkdir()
+    erp.mkdir()
+    (crm / "cust_info.csv").write_text(CUST)
+    (crm / "sales_details.csv").write_text(SALES)
+    (crm / "prd_info.csv").write_text(
+        "prd_id,prd_key,prd_nm,prd_cost,prd_line,prd_start_dt,prd_end_dt\n"
+        "212,AC-HE-HL-U509-R,Sport-100 Helmet- Red,12,S ,2011-07-01,2007-12-28\n"
+        "213,AC-HE-HL-U509-R,Sport-100 Helmet- Red,14,S ,2012-07-01,\n")
+    (erp / "CUST_AZ12.csv").write_text(AZ12)
+    (erp / "LOC_A101.csv").write_text(LOC)
+    (erp / "PX_CAT_G1V2.csv").write_text("ID,CAT,SUBCAT,MAINTENANCE\nAC_HE,Accessories,Helmets,No\n")
+    assert main(["refresh", "--landing", str(tmp_path), "--out", str(tmp_path / "out"), "--as-of", "2025-06-01"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert "gold.fact_sales" in lines[0]["published"]
+    checks = {x["check"]: x["violations"] for x in lines[1:]}
+    assert checks["k09_orphan_fact_products"] == 2   # SO3 and SO4 reference no current product

@@ -8,7 +8,6 @@ from __future__ import annotations
 import argparse
 import json
 
-from .plans.checks import suite
 from .plans.warehouse import refresh_from_csv
 from .session import build_session
 
@@ -24,9 +23,8 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     wh = refresh_from_csv(spark, args.landing, args.out, args.as_of)
-    wh.as_of = args.as_of
     print(json.dumps({"root": wh.root, "published": wh.publish(args.as_of)}))
-    for row in suite(wh).collect():
+    for row in wh.quality.collect():
         print(json.dumps(row.asDict()))
     return 0
 

@@ -31,6 +31,8 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self.as_of = None
+        self.quality: DataFrame | None = None
         self.bronze: dict[str, DataFrame] = {}
         self.silver: dict[str, DataFrame] = {}
         self.gold: dict[str, DataFrame] = {}
@@ -68,11 +70,14 @@ def _write_all(spark: SparkSession, root: str, layer: str, frames: dict[str, Dat
 
 
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, as_of=None,
-            scalable_keys: bool = True, fix_gender_case: bool = False, parallel: int = 6) -> Warehouse:
+            scalable_keys: bool = True, fix_gender_case: bool = False, parallel: int = 6,
+            run_checks: bool = False) -> Warehouse:
     """Truncate-and-load every layer: bronze, silver (with audit column), then gold.
 
     Tables of one layer are independent, so they are written as concurrent
     jobs; each layer is read back from its files, which cuts the lineage.
+    With ``run_checks`` the data-quality suite's ``(check, table, violations)``
+    is written to ``quality/dq_suite`` and kept as ``wh.quality``.
     """
     root = root or scratch_path(spark, "refresh")
     wh = Warehouse(spark, root)
@@ -83,13 +88,19 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     dims = {"dim_customers": G.dim_customers(s, scalable_keys), "dim_products": G.dim_products(s, scalable_keys)}
     wh.gold = _write_all(spark, root, "gold", dims, parallel)
     wh.gold.update(_write_all(spark, root, "gold", {"fact_sales": G.fact_sales(s, wh.gold)}, 1))
+    wh.as_of = as_of
+    if run_checks:
+        from .checks import suite
+        wh.quality = _write_all(spark, root, "quality", {"dq_suite": suite(wh)}, 1)["dq_suite"]
     return wh
 
 
 def refresh_from_csv(spark: SparkSession, landing: str, root: str | None = None, as_of=None,
-                     files: dict[str, str] | None = None, **kw) -> Warehouse:
-    """The source warehouse's own flow: CSV extracts in ``landing`` -> bronze -> silver -> gold."""
-    return refresh(spark, read_all_bronze(spark, landing, files), root=root, as_of=as_of, **kw)
+                     files: dict[str, str] | None = None, run_checks: bool = True, **kw) -> Warehouse:
+    """The source warehouse's own flow: CSV extracts in ``landing`` -> bronze -> silver -> gold,
+    then the data-quality suite."""
+    return refresh(spark, read_all_bronze(spark, landing, files), root=root, as_of=as_of,
+                   run_checks=run_checks, **kw)
 
 
 _CACHE: dict[tuple, Warehouse] = {}
@@ -103,6 +114,5 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF)
         wh = _CACHE.get(key)
         if wh is None:
             wh = refresh(spark, testdata.bronze_from_testdata(spark, sf_dir), as_of=as_of)
-            wh.as_of = as_of
             _CACHE[key] = wh
         return wh
