@@ -11,7 +11,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,9 +20,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from tierwise.session import build_session
+    # spark.checkpoint.dir comes from the environment's defaults when it names one;
+    # tierwise.session.shared_root() creates a private folder only when it is unset.
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tierwise-bench-")
     spark = build_session(f"local[{cpus}]", max(8, cpus * 2), "tierwise-bench", extra)
 
     from tierwise.plans import checks as C

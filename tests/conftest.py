@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -10,8 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from tierwise.session import build_session
-    s = build_session("local[*]", 8, "tierwise-tests",
-                      {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tierwise-test-ckpt-")})
+    # Checkpoint folder: the session's spark.checkpoint.dir if the environment names one,
+    # else tierwise.session.shared_root() registers a private one.
+    s = build_session("local[*]", 8, "tierwise-tests")
     yield s
     s.stop()
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -44,7 +43,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(
         os.path.abspath(__file__))), "PLANS.md")
-    spark = build_session("local[8]", 8, "explain", {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="explain-")})
+    spark = build_session("local[8]", 8, "explain")
     wh = warehouse_for(spark, sf)
     s = {k: v.drop("dwh_create_date") for k, v in wh.silver.items()}
     cases = [
