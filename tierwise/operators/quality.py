@@ -115,18 +115,59 @@ def too_long(df: DataFrame, cols: Sequence[str], width: int = 50) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def count_where(*conds: Column) -> Column:
+    """Aggregate: rows where each condition is TRUE, summed over the conditions
+    (one condition per column for the per-column checks)."""
+    out = None
+    for c in conds:
+        term = F.count_if(c)
+        out = term if out is None else out + term
+    return out
+
+
 @dataclass(frozen=True)
 class Check:
+    """One check of the suite.
+
+    ``violations`` is the violating-rows frame. Filter-only checks may instead
+    (or also) give ``counts``: ``(source label, source frame, count aggregate)``
+    contributions. All contributions on the same source are computed in a
+    single aggregation pass over it.
+    """
     name: str
     table: str
-    violations: DataFrame
+    violations: DataFrame | None = None
+    counts: tuple[tuple[str, DataFrame, Column], ...] = ()
 
 
 def run_suite(checks: Sequence[Check]) -> DataFrame:
-    """``(check, table, violations)``: one row per check, computed in one job."""
-    rows = [c.violations.agg(F.count(F.lit(1)).alias("violations"))
-            .select(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), "violations") for c in checks]
-    return reduce(DataFrame.unionAll, rows)
+    """``(check, table, violations)``: one row per check.
+
+    Checks with ``counts`` are fused: one ``agg`` per source table computes
+    every filter-only check on it, so a large table is scanned once for all of
+    them rather than once per check. The others count their violation frames.
+    """
+    tables = {c.name: c.table for c in checks}
+    parts = [c.violations.agg(F.count(F.lit(1)).alias("violations"))
+             .select(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), "violations")
+             for c in checks if not c.counts]
+    by_source: dict[str, tuple[DataFrame, list[tuple[str, Column]]]] = {}
+    for c in checks:
+        for label, frame, expr in c.counts:
+            by_source.setdefault(label, (frame, []))[1].append((c.name, expr))
+    fused = []
+    for frame, items in by_source.values():
+        slots = {f"_c{i}": name for i, (name, _) in enumerate(items)}
+        row = frame.agg(*[expr.alias(slot) for slot, (_, expr) in zip(slots, items)])
+        long = row.unpivot([], list(slots), "_slot", "violations")
+        slot_to_check = F.create_map(*[F.lit(x) for kv in slots.items() for x in kv])
+        fused.append(long.select(slot_to_check[F.col("_slot")].alias("check"), "violations"))
+    if fused:
+        table_of = F.create_map(*[F.lit(x) for kv in tables.items() for x in kv])
+        summed = reduce(DataFrame.unionAll, fused).groupBy("check").agg(
+            F.sum("violations").cast("bigint").alias("violations"))
+        parts.append(summed.select("check", table_of[F.col("check")].alias("table"), "violations"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def text_columns(df: DataFrame) -> list[str]:
