@@ -113,3 +113,9 @@ def test_skew_safe_lead_spreads_hot_key(wh):
     p = plan(add_valid_to(wh.bronze["crm_prd_info"], "prd_key", "prd_start_dt", "end", ["prd_id"], skew_safe=True))
     assert re.search(r"Exchange hashpartitioning\(_part_id#\d+, prd_key#\d+", p)
     assert not re.search(r"Exchange hashpartitioning\(prd_key#\d+, \d+\)", p)
+
+
+def test_dq_suite_scans_sales_once_for_all_filter_checks(wh):
+    scans = [l for l in plan(C.suite(wh)).split("\n") if "FileScan" in l and "sls_" in l]
+    # one fused pass (K7, K10/K11, K15) + K8 x2 (anti joins) + K12 (distinct): 4, not one per check
+    assert len(scans) == 4
