@@ -42,3 +42,23 @@ def test_customer_report_kpis(spark):
     assert r.avg_order_value == Decimal("2503.00") and r.avg_monthly_spend == Decimal("385.15")
     exact = R.customer_report(_gold(spark, rows), "2012-01-01", exact_average=True).first()
     assert exact.avg_order_value == Decimal("2503.50")
+
+
+def test_profit_margin_operator_matches_preaggregated_query(spark):
+    """R9 on joined rows equals Q15, which pre-aggregates per product before the join."""
+    import os
+
+    from tierwise.operators.analytics import profit_margin
+    from tierwise.plans.queries import q15_profit_margins
+    from tierwise.plans.warehouse import warehouse_for
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    g = warehouse_for(spark, sf).gold
+    p = g["dim_products"].select("product_key", "category", "subcategory", "product_name", "cost")
+    joined = g["fact_sales"].join(p, "product_key", "left")
+    keys = ["category", "subcategory", "product_name"]
+    a = {tuple(r[k] for k in keys): tuple(r) for r in profit_margin(joined, keys).collect()}
+    b = {tuple(r[k] for k in keys): tuple(r[c] for c in profit_margin(joined, keys).columns)
+         for r in q15_profit_margins(g).collect()}
+    assert a == b and len(a) > 0

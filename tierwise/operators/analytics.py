@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import (
-    EXACT, MONEY, band, change_label, exact_ratio, pct_text, period_start, round2, whole_months,  # noqa: F401
+    EXACT, band, change_label, exact_ratio, pct_text, period_start, round2, whole_months,  # noqa: F401
 )
 
 # Segmentation thresholds and labels of the analytic queries.
@@ -146,6 +146,3 @@ def lifespan_months(first: Column, last: Column) -> Column:
     """Months between first and last order."""
     return whole_months(last, first)
 
-
-def money(c: Column) -> Column:
-    return c.cast(MONEY)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import (
-    clean_text, col, int_div, int_to_date, map_codes, remove_chars, strip_prefix,
+    col, int_div, int_to_date, map_codes, remove_chars, strip_prefix,
 )
 
 # Fixed values of the source system's code sets.
@@ -73,10 +73,10 @@ def standardise_erp_gender(c, fix_gender_case: bool = False) -> Column:
 def standardise_country(c) -> Column:
     """Country code -> name; blank or NULL -> 'Unkown'; other values trimmed (E5)."""
     t = F.trim(col(c))
-    return (F.when(t == "DE", F.lit("Germany"))
-            .when(t.isin("US", "USA"), F.lit("United States"))
-            .when((t == "") | col(c).isNull(), F.lit(COUNTRY_UNKNOWN))
-            .otherwise(t))
+    expr = None
+    for code, name in COUNTRY_CODES.items():
+        expr = F.when(t == code, F.lit(name)) if expr is None else expr.when(t == code, F.lit(name))
+    return expr.when((t == "") | col(c).isNull(), F.lit(COUNTRY_UNKNOWN)).otherwise(t)
 
 
 def split_product_key(df: DataFrame, key: str = "prd_key") -> DataFrame:
@@ -150,6 +150,3 @@ def encoded_dates_to_date(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Integer YYYYMMDD columns -> DATE."""
     return df.withColumns({c: int_to_date(c) for c in cols})
 
-
-def normalise_code(c) -> Column:
-    return clean_text(c)

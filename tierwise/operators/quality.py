@@ -170,6 +170,3 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-

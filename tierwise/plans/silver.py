@@ -24,10 +24,9 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
         tiebreak=[F.col(c).asc_nulls_last() for c in ("cst_marital_status", "cst_gndr", "cst_key",
                                                       "cst_firstname", "cst_lastname")],
     )
-    return latest.select(
-        "cst_id", "cst_key",
-        F.trim("cst_firstname").alias("cst_firstname"),
-        F.trim("cst_lastname").alias("cst_lastname"),
+    trimmed = C.trim_columns(latest, ["cst_firstname", "cst_lastname"])
+    return trimmed.select(
+        "cst_id", "cst_key", "cst_firstname", "cst_lastname",
         C.standardise_marital("cst_marital_status").alias("cst_marital_status"),
         C.standardise_gender("cst_gndr").alias("cst_gndr"),
         "cst_create_date",

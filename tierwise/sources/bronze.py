@@ -81,8 +81,3 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str, schema=No
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(os.path.join(root, layer, table))
 
-
-def register_views(frames: dict[str, DataFrame], prefix: str = "") -> None:
-    """Expose DataFrames as temp views, e.g. ``gold_fact_sales``."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(f"{prefix}{name}")

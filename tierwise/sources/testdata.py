@@ -28,6 +28,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import date_to_int
 from ..operators.partitioning import ensure_parallelism
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -154,16 +155,15 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
     qty = F.col("l_quantity").cast("int")
     base = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
     disc, tax = F.col("l_discount"), F.col("l_tax")
-    order_int = F.date_format("o_orderdate", "yyyyMMdd").cast("int")
+    order_int = date_to_int("o_orderdate")
     return j.select(
         F.concat(F.lit("SO"), F.col("l_orderkey").cast("string")).alias("sls_ord_num"),
         product_number().alias("sls_prd_key"),
         F.col("o_custkey").alias("sls_cust_id"),
         F.when(disc == 0.0, F.lit(0)).when(disc == 0.1, F.call_function("div", order_int, F.lit(100)).cast("int"))
          .otherwise(order_int).alias("sls_order_dt"),
-        F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("sls_ship_dt"),
-        F.date_format(F.date_add(F.col("o_orderdate").cast("date"), DUE_DAYS), "yyyyMMdd").cast("int")
-         .alias("sls_due_dt"),
+        date_to_int("l_shipdate").alias("sls_ship_dt"),
+        date_to_int(F.date_add(F.col("o_orderdate").cast("date"), DUE_DAYS)).alias("sls_due_dt"),
         F.when(disc == 0.01, F.lit(None).cast("int")).when(disc == 0.02, -(qty * base))
          .when(disc == 0.03, qty * base + 1).when(disc == 0.04, F.lit(0)).otherwise(qty * base).alias("sls_sales"),
         qty.alias("sls_quantity"),
