@@ -55,3 +55,12 @@ def test_validity_and_keys(products):
         ("2011-07-01", "2012-06-30"), ("2012-07-01", "2013-06-30"), ("2013-07-01", "None")]
     keys = {r.product_key: r.product_id for r in dim.collect()}
     assert (keys[1], keys[2], keys[295]) == (210, 211, 477)
+
+
+def test_version_counts_and_source_end_dates(products):
+    prd = products[0]
+    versions = {r.n: r["count"] for r in prd.groupBy("prd_key").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("n").count().collect()}
+    assert versions == {1: 218, 2: 52, 3: 25}
+    assert prd.where(F.col("prd_end_dt") < F.col("prd_start_dt")).count() == 200
+    assert prd.where(F.col("prd_end_dt").isNull()).count() == 197
