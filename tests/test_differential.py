@@ -38,7 +38,7 @@ def test_publish_catalog_views(spark):
     wh = warehouse_for(spark, SF)
     names = wh.publish("2002-01-01")
     assert "gold.fact_sales" in names and "silver.crm_cust_info" in names
-    # The reference's own SQL style runs against the published views.
+    # The source warehouse's SQL style runs against the published views.
     got = spark.sql("""
         SELECT DATE_TRUNC('year', order_date)::date AS order_date, SUM(sales_amount) AS total_sales
         FROM gold.fact_sales WHERE order_date IS NOT NULL GROUP BY 1 ORDER BY 1""").collect()

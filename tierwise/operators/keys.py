@@ -71,5 +71,5 @@ def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str,
 
 
 def with_row_number_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Reference form: global ``row_number`` (single partition). For small inputs/tests."""
+    """Plain form: global ``row_number`` (single partition). For small inputs/tests."""
     return df.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name), *df.columns)

@@ -1,7 +1,7 @@
 """The analytic queries Q1-Q19 over the gold star schema.
 
 Each function takes the gold frames (``fact_sales``, ``dim_customers``,
-``dim_products``) and returns a DataFrame with the reference's columns.
+``dim_products``) and returns a DataFrame with the source warehouse's columns.
 Joins to a dimension are done *after* pre-aggregating the fact on the
 surrogate key wherever the grouping is functionally dependent on it, so the
 shuffle carries one row per key (and period) instead of one per sale.
@@ -48,7 +48,7 @@ def q03_yoy_change(g: Gold) -> DataFrame:
 
 
 def q04_mom_change(g: Gold) -> DataFrame:
-    # The reference names the month column ``order_year``.
+    # The source query names the month column ``order_year``.
     return A.period_change(_period_sales(g, "month", "order_year"), "order_year", "total_sales") \
         .orderBy(F.col("order_year").asc_nulls_last())
 
@@ -187,5 +187,5 @@ def q19_tier_share(g: Gold) -> DataFrame:
     per_tier = customer_spending(g, "total_amount").groupBy("customer_tier").agg(
         F.count("customer_key").alias("total_customers"), F.sum("total_amount").alias("total_amount"))
     out = A.share_of_total(per_tier, "customer_tier", "total_amount").drop("overall_amount")
-    # Ordered by the percentage *text*, as the reference does.
+    # Ordered by the percentage *text*, as the source query does.
     return out.orderBy(F.col("percentage_of_total").desc_nulls_first())

@@ -3,7 +3,7 @@
 Both aggregate the fact on its surrogate key first (one row per customer /
 product, two exact distinct counts each), then attach the dimension
 attributes with a key-to-key join and compute the KPIs row by row.
-``as_of`` replaces the reference's ``NOW()`` so results are reproducible.
+``as_of`` replaces the source's ``NOW()`` so results are reproducible.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ REPORT_PRODUCTS = ["product_key", "product_name", "category", "subcategory", "co
 
 
 def _average_per_order(total, orders, exact_average: bool):
-    # Bigint / bigint truncates in the reference before ROUND(.., 2).
+    # Bigint / bigint truncates in the source before ROUND(.., 2).
     ratio = exact_ratio(total, orders) if exact_average else int_div(total, orders)
     return round2(F.when(F.col(orders) == 0, F.lit(0)).otherwise(ratio))
 
@@ -95,7 +95,7 @@ def product_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool =
     asp = _avg_selling_price(f)
     per_key = per_key.join(asp, per_key["product_key"].eqNullSafe(asp["_asp_key"]), "left").drop("_asp_key")
     p = gold["dim_products"].select("product_key", "product_name", "category", "subcategory", "cost")
-    # The reference groups on the dimension's key: unmatched fact keys form one NULL group.
+    # The source groups on the dimension's key: unmatched fact keys form one NULL group.
     j = per_key.join(p.withColumnRenamed("product_key", "_pk"), F.col("product_key") == F.col("_pk"), "left") \
         .drop("product_key").withColumnRenamed("_pk", "product_key")
     j = j.withColumn("lifespan", whole_months(F.col("last_sale_date"), F.col("_first")))

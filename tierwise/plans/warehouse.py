@@ -1,6 +1,6 @@
 """Full refresh: bronze -> silver -> gold, materialised once per refresh.
 
-The reference recomputes its gold views (and their surrogate keys) on every
+The source warehouse recomputes its gold views (and their surrogate keys) on every
 read. Here each layer is written as parquet under one refresh folder in the
 shared checkpoint location, so the keys cannot change between queries of a
 refresh, each stage's lineage is cut, and a lost executor only re-runs tasks
