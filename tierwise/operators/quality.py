@@ -31,17 +31,20 @@ def bad_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return duplicates(df, keys, include_null=True)
 
 
+def long_form(df: DataFrame, cols: Sequence[str], as_string: bool = False) -> DataFrame:
+    """``(column, value)`` for every row and listed column: one scan (``Expand``), not one per column."""
+    src = df.select(*[F.col(c).cast("string").alias(c) if as_string else F.col(c) for c in cols])
+    return src.unpivot([], list(cols), "column", "value")
+
+
 def untrimmed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, value)`` for every value with leading/trailing spaces (K3)."""
-    parts = [df.where(F.col(c) != F.trim(F.col(c))).select(F.lit(c).alias("column"), F.col(c).alias("value"))
-             for c in cols]
-    return reduce(DataFrame.unionAll, parts)
+    return long_form(df, cols).where(F.col("value") != F.trim(F.col("value")))
 
 
 def domain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct values per column, ``(column, value)`` (K4)."""
-    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).distinct() for c in cols]
-    return reduce(DataFrame.unionAll, parts)
+    """Distinct values per column, ``(column, value)`` (K4), one scan and one shuffle."""
+    return long_form(df, cols, as_string=True).distinct()
 
 
 def null_or_negative(df: DataFrame, c: str) -> DataFrame:
@@ -83,11 +86,11 @@ def orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str | None = Non
     return fact.join(d, F.col(key) == F.col("_dk"), "left_anti")
 
 
-def bad_int_date(df: DataFrame, c: str) -> DataFrame:
-    """Encoded dates that are zero, negative or not 8 digits."""
-    v = F.col(c)
-    return df.where((v <= 0) | (F.length(v.cast("string")) != 8)).select(F.lit(c).alias("column"),
-                                                                         v.alias("value"))
+def bad_int_date(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
+    """``(column, value)`` of encoded dates that are zero, negative or not 8 digits."""
+    v = F.col("value")
+    return long_form(df, [cols] if isinstance(cols, str) else cols) \
+        .where((v <= 0) | (F.length(v.cast("string")) != 8))
 
 
 def sales_rule(df: DataFrame, sales: str = "sls_sales", qty: str = "sls_quantity",
@@ -110,9 +113,7 @@ def conflicts(df: DataFrame, master: str, other: str, resolved: Column) -> DataF
 
 def too_long(df: DataFrame, cols: Sequence[str], width: int = 50) -> DataFrame:
     """``(column, value)`` for text longer than the declared width."""
-    parts = [df.where(F.length(F.col(c)) > width).select(F.lit(c).alias("column"), F.col(c).alias("value"))
-             for c in cols]
-    return reduce(DataFrame.unionAll, parts)
+    return long_form(df, cols).where(F.length(F.col("value")) > width)
 
 
 def count_where(*conds: Column) -> Column:
