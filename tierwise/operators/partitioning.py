@@ -12,20 +12,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import default_parallelism
+
 
 def scan_partitions(df: DataFrame) -> int | None:
     """Number of partitions the plan of ``df`` produces (metadata only, no job)."""
     try:
         return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the input as it is
         return None
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition ``df`` when it has fewer partitions than ``min_partitions``
     (default: the cluster's default parallelism)."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
+    target = min_partitions or default_parallelism(df.sparkSession)
     n = scan_partitions(df)
     if n is not None and n < target:
         return df.repartition(target)

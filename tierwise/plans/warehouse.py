@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import testdata
 from ..sources.bronze import ensure_layers, publish_table, read_all_bronze, read_layer, with_audit, write_layer
 from ..sources.schemas import AUDIT_COL
-from ..session import scratch_path
+from ..session import application_id, scratch_path
 from . import gold as G
 from .silver import build_silver
 
@@ -136,7 +136,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF)
     refreshing again, as long as the input files are unchanged.
     """
     src = (os.path.abspath(sf_dir), as_of)
-    key = (spark.sparkContext.applicationId, *src)
+    key = (application_id(spark), *src)
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None:

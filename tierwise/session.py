@@ -44,21 +44,39 @@ def shared_root(spark: SparkSession) -> str:
     cluster names). Only when it is unset -- local runs and tests -- a
     private directory is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext; the server owns the setting
+        sc = None
+    if sc is not None:
+        root = root or sc.getConf().get("spark.checkpoint.dir", None)
     if root:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         # SparkContext appends a per-application uuid directory; use its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
     local = tempfile.mkdtemp(prefix="tierwise-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
+def application_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under :func:`shared_root` (never reused)."""
     return os.path.join(shared_root(spark), "tierwise", *parts, uuid.uuid4().hex)
