@@ -90,3 +90,29 @@ def test_skew_safe_validity_end_matches_window(spark):
     slow = {r.prd_id: r.end for r in add_valid_to(df, "prd_key", "prd_start_dt", "end", ["prd_id"],
                                                   skew_safe=False).collect()}
     assert fast == slow and len(fast) == 1500
+
+
+def test_order_operators_exact_across_coalesced_range_partitions(spark):
+    """AQE-coalesced range partitions keep the global order: keys and LEAD stay exact."""
+    from pyspark.sql import Window
+
+    from tierwise.operators.ordered import lead_within_key
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k", "spark.sql.shuffle.partitions": "64"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 200000).select((F.col("id") * 7919 % 200000).alias("a"), F.col("id"))
+        out = with_surrogate_key(df, [F.col("a"), F.col("id")], "k", global_max_bytes=None)
+        assert out.rdd.getNumPartitions() > 1
+        assert out.where(F.col("k") != F.col("a") + 1).count() == 0
+        hot = spark.range(0, 100000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+            (F.col("id") * 7 % 100000).alias("v"))
+        fast = lead_within_key(hot, "k", [F.col("v").asc_nulls_last()], "v", "nx")
+        slow = hot.withColumn("nx", F.lead("v").over(Window.partitionBy("k").orderBy("v")))
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

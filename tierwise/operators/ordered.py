@@ -21,10 +21,11 @@ PID = "_part_id"
 
 def pinned_sort(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, checkpointed, with its partition id in ``_part_id``."""
-    spark = df.sparkSession
-    shared_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fixed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    shared_root(df.sparkSession)
+    # Without an explicit count AQE sizes the range exchange from the data (it
+    # only merges neighbouring ranges, so the global order is kept).
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    fixed = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     return fixed.withColumn(PID, F.spark_partition_id())
 
 
