@@ -59,7 +59,7 @@ def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_queries() -> dict[str, Runner]:
-    out = {name: _table(b) for name, (b, _) in {**C.TABLES, **C.OPERATORS}.items()}
+    out = {name: _table(b) for name, (b, _) in {**C.TABLES, **C.OPERATORS, **C.CSV_INGEST}.items()}
     out["e01_latest_lineitem"] = _latest_lineitem
     return out
 
@@ -77,7 +77,7 @@ def all_queries() -> dict[str, Runner]:
 def all_sql() -> dict[str, str]:
     from .oracle import PIPELINE, QUERIES, int_date
     out = dict(QUERIES)
-    for name, (_, sql) in C.TABLES.items():
+    for name, (_, sql) in {**C.TABLES, **C.CSV_INGEST}.items():
         out[name] = PIPELINE + "\n" + sql
     out["e01_latest_lineitem"] = C.LATEST_LINEITEM_SQL
     for name, (_, sql) in C.OPERATORS.items():

@@ -40,6 +40,18 @@ class Warehouse:
     def table(self, layer: str, name: str) -> DataFrame:
         return {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer][name]
 
+    def landing(self) -> str:
+        """The bronze tables of this refresh written as CSV extracts (source layout), once."""
+        from ..sources.bronze import write_extract
+        from ..sources.schemas import BRONZE_FILES
+        with _LOCK:
+            path = os.path.join(self.root, "landing")
+            if not getattr(self, "_landing_done", False):
+                for table, rel in BRONZE_FILES.items():
+                    write_extract(self.bronze[table], os.path.join(path, rel))
+                self._landing_done = True
+            return path
+
     def publish(self, as_of=None) -> list[str]:
         """Register every layer in the session catalog: ``bronze.*``, ``silver.*``,
         ``gold.dim_customers`` ... plus the two report views as temp views

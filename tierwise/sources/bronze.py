@@ -33,6 +33,8 @@ def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
           .option("header", True)
           .option("enforceSchema", True)
           .option("mode", "FAILFAST")
+          .option("ignoreLeadingWhiteSpace", False)
+          .option("ignoreTrailingWhiteSpace", False)
           .option("emptyValue", _QUOTED_EMPTY)
           .option("dateFormat", "yyyy-MM-dd")
           .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
@@ -41,6 +43,16 @@ def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)) for c in text})
 
 
+def write_extract(df: DataFrame, path: str) -> None:
+    """Write a table as a CSV extract in the layout :func:`read_bronze` expects: header row,
+    ``""`` for an empty string, nothing for NULL, dates and timestamps as text, and
+    leading/trailing spaces kept (Spark's CSV writer trims them by default)."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("dateFormat", "yyyy-MM-dd").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+     .csv(path))
+
+
 def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     files = files or BRONZE_FILES
     return {t: read_bronze(spark, os.path.join(landing, f), t) for t, f in files.items()}
