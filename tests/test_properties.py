@@ -70,3 +70,35 @@ def test_latest_per_key_matches_brute_force(spark):
 def test_month_end_borrow_cases():
     assert pg_age_months(dt.date(2013, 2, 28), dt.date(2013, 1, 31)) == 0
     assert calendar.isleap(2012)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=12),
+       st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=6))
+def test_not_in_matches_sql_semantics(spark, child, parent):
+    from tierwise.operators.quality import orphans_not_in
+    c = spark.createDataFrame([(v,) for v in child], "k int")
+    p = spark.createDataFrame([(v,) for v in parent], "pk int")
+    got = sorted(orphans_not_in(c, "k", p, "pk").collect(), key=lambda r: (r.k is None, r.k or 0))
+    if not parent:
+        want = child
+    elif any(v is None for v in parent):
+        want = []
+    else:
+        want = [v for v in child if v is not None and v not in parent]
+    assert [r.k for r in got] == sorted(want, key=lambda v: (v is None, v or 0))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(1, 10**9)), min_size=1, max_size=40))
+def test_cent_rounding_matches_decimal_model(spark, pairs):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = df.select(X.round2(X.exact_ratio("a", "b")).alias("r"), X.pct_text("a", "b").alias("p")).collect()
+    with localcontext() as ctx:
+        ctx.prec = 60
+        for (a, b), row in zip(pairs, got):
+            q = (Decimal(a) / Decimal(b)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            p = (Decimal(a) * 100 / Decimal(b)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            p = abs(p) if p == 0 else p   # numeric has no negative zero: -0.004 rounds to 0.00
+            assert row.r == q and row.p == f"{p}%"
