@@ -33,3 +33,17 @@ def test_age_functions(spark):
                   "age_months(DATE'2013-01-31', DATE'2013-03-01') b, "
                   "age_years(DATE'2002-01-01', DATE'1971-10-06') c, pct_text(396, 1000) d").first()
     assert tuple(r) == (0, -1, 30, "39.60%")
+
+
+def test_report_views_match_dataframe_reports(spark):
+    from tierwise.plans import reports as R
+    wh = warehouse_for(spark, SF)
+    wh.publish("2002-01-01")
+    for view, fn in (("report_customers", R.customer_report), ("report_products", R.product_report)):
+        a = fn(wh.gold, "2002-01-01")
+        b = spark.table(view)
+        assert sorted(a.columns) == sorted(b.columns)
+        assert [f.dataType for f in a.select(*sorted(a.columns)).schema] == \
+            [f.dataType for f in b.select(*sorted(b.columns)).schema]
+        assert digest(a.columns, [tuple(r) for r in a.collect()])[0] == \
+            digest(b.columns, [tuple(r) for r in b.collect()])[0]

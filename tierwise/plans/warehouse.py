@@ -54,17 +54,17 @@ class Warehouse:
 
     def publish(self, as_of=None) -> list[str]:
         """Register every layer in the session catalog: ``bronze.*``, ``silver.*``,
-        ``gold.dim_customers`` ... plus the two report views as temp views
-        ``report_customers`` / ``report_products`` (S4, S7)."""
-        from .reports import customer_report, product_report
-        from .sql_api import register_functions
+        ``gold.dim_customers`` ... plus the two report views (SQL text, ``as_of`` for
+        NOW()) as temp views ``report_customers`` / ``report_products`` (S4, S7)."""
+        import datetime as _dt
+
+        from .sql_api import create_report_views, register_functions
         ensure_layers(self.spark, root=self.root)
         register_functions(self.spark)
         names = [publish_table(self.spark, self.root, layer, t)
                  for layer, frames in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold))
                  for t in frames]
-        customer_report(self.gold, as_of).createOrReplaceTempView("report_customers")
-        product_report(self.gold, as_of).createOrReplaceTempView("report_products")
+        create_report_views(self.spark, str(as_of or self.as_of or _dt.date.today()))
         return names + ["report_customers", "report_products"]
 
 
