@@ -119,3 +119,40 @@ def test_dq_suite_scans_sales_once_for_all_filter_checks(wh):
     scans = [l for l in plan(C.suite(wh)).split("\n") if "FileScan" in l and "sls_" in l]
     # one fused pass (K7, K10/K11, K15) + K8 x2 (anti joins) + K12 (distinct): 4, not one per check
     assert len(scans) == 4
+
+
+def test_hot_customer_lookup_is_split_by_aqe(spark):
+    """A customer holding a third of the sales lines: the fact lookup join is planned as a skew join."""
+    from tierwise.plans.gold import fact_sales
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        sales = spark.range(n).select(
+            F.concat(F.lit("SO"), F.col("id").cast("string")).alias("sls_ord_num"),
+            F.concat(F.lit("P-"), (F.col("id") % 5).cast("string")).alias("sls_prd_key"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500 + 1000).cast("bigint").alias("sls_cust_id"),
+            F.lit(None).cast("date").alias("sls_order_dt"), F.lit(None).cast("date").alias("sls_ship_dt"),
+            F.lit(None).cast("date").alias("sls_due_dt"), F.lit(1).alias("sls_sales"), F.lit(1).alias("sls_quantity"),
+            F.lit(1).alias("sls_price"))
+        cust_ids = spark.range(1000, 1500).union(spark.range(7, 8)).select(F.col("id").alias("customer_id"))
+        dims = {"dim_customers": cust_ids.select((F.col("customer_id") + 1).alias("customer_key"), "customer_id"),
+                "dim_products": spark.range(5).select((F.col("id") + 1).alias("product_key"),
+                                                      F.concat(F.lit("P-"), F.col("id").cast("string"))
+                                                      .alias("product_number"))}
+        fact = fact_sales({"crm_sales_details": sales}, dims)
+        assert fact.where(F.col("customer_key") == 8).count() == n // 3
+        fact.collect()
+        final = fact._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "skew=true" in final
+        assert "NestedLoop" not in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
