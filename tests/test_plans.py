@@ -71,7 +71,7 @@ def test_scans_are_pruned(wh):
 
 
 def test_unpartitioned_windows_run_on_aggregates(wh):
-    for q in (Q.q03_yoy_change, Q.q05_running_total_monthly, Q.q08_rolling_3_month_avg, Q.q16_category_share):
+    for q in (Q.q03_yoy_change, Q.q05_running_total_monthly, Q.q08_rolling_3_month_avg):
         p = plan(q(wh.gold))
         # every Window operator sits above a final HashAggregate (one row per period / group)
         lines = p.split("\n")
@@ -156,3 +156,8 @@ def test_hot_customer_lookup_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_share_of_total_uses_a_scalar_grand_total(wh):
+    p = plan(Q.q17_country_share(wh.gold))
+    assert "Subquery" in p and "Window [" not in p

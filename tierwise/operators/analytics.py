@@ -134,11 +134,12 @@ def share_of_total(df: DataFrame, key: str | Sequence[str], value: str, total: s
                    pct: str = "percentage_of_total") -> DataFrame:
     """Grand total over all groups and each group's share as text.
 
-    Expects one row per group (aggregate first); the empty-partition window
-    then sees only the group rows.
+    ``SUM(value) OVER ()`` computed as a scalar subquery: one partially
+    aggregated value, so the group rows are never gathered into one partition
+    however many groups there are.
     """
-    w = Window.partitionBy()
-    return (df.withColumn(total, F.sum(value).over(w))
+    grand = df.select(F.sum(value)).scalar()
+    return (df.withColumn(total, grand)
             .withColumn(pct, pct_text(F.col(value), F.col(total))))
 
 
