@@ -74,12 +74,18 @@ def silver_categories(bronze: DataFrame) -> DataFrame:
     return bronze.select(*SILVER_COLUMNS["erp_px_cat_g1v2"])
 
 
-def build_silver(bronze: dict[str, DataFrame], as_of=None, fix_gender_case: bool = False) -> dict[str, DataFrame]:
+def build_silver_table(table: str, bronze: DataFrame, as_of=None, fix_gender_case: bool = False) -> DataFrame:
+    """The silver load of one table from its bronze extract."""
+    if table == "erp_cust_az12":
+        return silver_erp_customers(bronze, as_of, fix_gender_case)
     return {
-        "crm_cust_info": silver_customers(bronze["crm_cust_info"]),
-        "crm_prd_info": silver_products(bronze["crm_prd_info"]),
-        "crm_sales_details": silver_sales(bronze["crm_sales_details"]),
-        "erp_cust_az12": silver_erp_customers(bronze["erp_cust_az12"], as_of, fix_gender_case),
-        "erp_loc_a101": silver_locations(bronze["erp_loc_a101"]),
-        "erp_px_cat_g1v2": silver_categories(bronze["erp_px_cat_g1v2"]),
-    }
+        "crm_cust_info": silver_customers,
+        "crm_prd_info": silver_products,
+        "crm_sales_details": silver_sales,
+        "erp_loc_a101": silver_locations,
+        "erp_px_cat_g1v2": silver_categories,
+    }[table](bronze)
+
+
+def build_silver(bronze: dict[str, DataFrame], as_of=None, fix_gender_case: bool = False) -> dict[str, DataFrame]:
+    return {t: build_silver_table(t, df, as_of, fix_gender_case) for t, df in bronze.items()}

@@ -20,7 +20,7 @@ from ..sources.bronze import ensure_layers, publish_table, read_all_bronze, read
 from ..sources.schemas import AUDIT_COL
 from ..session import application_id, scratch_path
 from . import gold as G
-from .silver import build_silver
+from .silver import build_silver_table
 
 # Reporting date used by the registered queries instead of NOW() (reproducible).
 DEFAULT_AS_OF = "2002-01-01"
@@ -68,42 +68,50 @@ class Warehouse:
         return names + ["report_customers", "report_products"]
 
 
-def _write_all(spark: SparkSession, root: str, layer: str, frames: dict[str, DataFrame],
-               parallel: int) -> dict[str, DataFrame]:
-    """Write independent tables of one layer as concurrent jobs; return them read back."""
-    def one(item):
-        name, df = item
-        write_layer(df, root, layer, name)
-        return name, read_layer(spark, root, layer, name, df.schema)
-    if parallel <= 1 or len(frames) == 1:
-        return dict(map(one, frames.items()))
-    with ThreadPoolExecutor(max_workers=min(parallel, len(frames))) as pool:
-        return dict(pool.map(one, frames.items()))
-
-
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, as_of=None,
-            scalable_keys: bool = True, fix_gender_case: bool = False, parallel: int = 6,
+            scalable_keys: bool = True, fix_gender_case: bool = False, parallel: int = 8,
             run_checks: bool = False) -> Warehouse:
     """Truncate-and-load every layer: bronze, silver (with audit column), then gold.
 
-    Tables of one layer are independent, so they are written as concurrent
-    jobs; each layer is read back from its files, which cuts the lineage.
-    With ``run_checks`` the data-quality suite's ``(check, table, violations)``
-    is written to ``quality/dq_suite`` and kept as ``wh.quality``.
+    Each table's bronze -> silver chain only depends on its own extract, and
+    each dimension only on its own silver inputs, so they are submitted as
+    concurrent jobs as soon as their inputs are written (no barrier between
+    layers); the fact follows both dimensions. Every table is read back from
+    its files, which cuts the lineage. With ``run_checks`` the data-quality
+    suite's ``(check, table, violations)`` is written to ``quality/dq_suite``
+    and kept as ``wh.quality``.
     """
     root = root or scratch_path(spark, "refresh")
     wh = Warehouse(spark, root)
-    wh.bronze = _write_all(spark, root, "bronze", bronze, parallel)
-    silver = build_silver(wh.bronze, as_of, fix_gender_case)
-    wh.silver = _write_all(spark, root, "silver", {k: with_audit(v) for k, v in silver.items()}, parallel)
-    s = {k: v.drop(AUDIT_COL) for k, v in wh.silver.items()}
-    dims = {"dim_customers": G.dim_customers(s, scalable_keys), "dim_products": G.dim_products(s, scalable_keys)}
-    wh.gold = _write_all(spark, root, "gold", dims, parallel)
-    wh.gold.update(_write_all(spark, root, "gold", {"fact_sales": G.fact_sales(s, wh.gold)}, 1))
     wh.as_of = as_of
+
+    def layer(name: str, table: str, df: DataFrame) -> DataFrame:
+        write_layer(df, root, name, table)
+        return read_layer(spark, root, name, table, df.schema)
+
+    def chain(table: str) -> tuple[DataFrame, DataFrame]:
+        b = layer("bronze", table, bronze[table])
+        one = build_silver_table(table, b, as_of, fix_gender_case)
+        return b, layer("silver", table, with_audit(one))
+
+    def silver_of(futures, *tables):
+        return {t: futures[t].result()[1].drop(AUDIT_COL) for t in tables}
+
+    workers = max(parallel, len(bronze) + 3) if parallel > 1 else 1
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        chains = {t: pool.submit(chain, t) for t in bronze}
+        dim_c = pool.submit(lambda: layer("gold", "dim_customers", G.dim_customers(
+            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101"), scalable_keys)))
+        dim_p = pool.submit(lambda: layer("gold", "dim_products", G.dim_products(
+            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2"), scalable_keys)))
+        dims = {"dim_customers": dim_c.result(), "dim_products": dim_p.result()}
+        fact = layer("gold", "fact_sales", G.fact_sales(silver_of(chains, "crm_sales_details"), dims))
+        wh.bronze = {t: f.result()[0] for t, f in chains.items()}
+        wh.silver = {t: f.result()[1] for t, f in chains.items()}
+    wh.gold = {**dims, "fact_sales": fact}
     if run_checks:
         from .checks import suite
-        wh.quality = _write_all(spark, root, "quality", {"dq_suite": suite(wh)}, 1)["dq_suite"]
+        wh.quality = layer("quality", "dq_suite", suite(wh))
     return wh
 
 
