@@ -116,3 +116,19 @@ def test_order_operators_exact_across_coalesced_range_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_duplicated_customer_gets_deterministic_keys(spark):
+    import datetime as dt
+
+    from tierwise.plans.gold import dim_customers
+    ci = spark.createDataFrame([(1, "A1", "Ann", "Lee", "Single", "Unknown", dt.date(2020, 1, 1)),
+                                (2, "A2", "Bo", "Li", "Married", "Male", None)],
+                               "cst_id int, cst_key string, cst_firstname string, cst_lastname string, "
+                               "cst_marital_status string, cst_gndr string, cst_create_date date")
+    ca = spark.createDataFrame([("A1", None, "Male"), ("A1", None, "Female")], "cid string, bdate date, gen string")
+    la = spark.createDataFrame([("A1", "Germany"), ("A2", "France")], "cid string, cntry string")
+    silver = {"crm_cust_info": ci, "erp_cust_az12": ca, "erp_loc_a101": la}
+    fast = {(r.customer_id, r.gender): r.customer_key for r in dim_customers(silver, True).collect()}
+    slow = {(r.customer_id, r.gender): r.customer_key for r in dim_customers(silver, False).collect()}
+    assert fast == slow == {(1, "Female"): 1, (1, "Male"): 2, (2, "Male"): 3}

@@ -26,7 +26,10 @@ def current_rows(df: DataFrame, end_col: str) -> DataFrame:
     return df.where(F.col(end_col).isNull())
 
 
-def _key(df: DataFrame, order: list[Column], name: str, scalable: bool) -> DataFrame:
+def _key(df: DataFrame, leading: list[str], name: str, scalable: bool) -> DataFrame:
+    """Number rows by ``leading`` (the source's key order), then by every other column so that
+    duplicated business keys (which the quality suite reports) still get deterministic keys."""
+    order = [F.col(c).asc_nulls_last() for c in leading + [c for c in df.columns if c not in leading]]
     return with_surrogate_key(df, order, name) if scalable else with_row_number_key(df, order, name)
 
 
@@ -48,8 +51,7 @@ def dim_customers(silver: dict[str, DataFrame], scalable: bool = True) -> DataFr
         F.col("la.cntry").alias("country"),
         F.col("ci.cst_create_date").alias("create_date"),
     )
-    return _key(body, [F.col("customer_id").asc_nulls_last(),
-                       F.col("customer_number").asc_nulls_last()], "customer_key", scalable) \
+    return _key(body, ["customer_id", "customer_number"], "customer_key", scalable) \
         .select(*GOLD_COLUMNS["dim_customers"])
 
 
@@ -69,9 +71,8 @@ def dim_products(silver: dict[str, DataFrame], scalable: bool = True) -> DataFra
         F.col("pn.prd_line").alias("product_line"),
         F.col("pn.prd_start_dt").alias("start_date"),
     )
-    order = [F.col("start_date").asc_nulls_last(), F.col("product_number").asc_nulls_last(),
-             F.col("product_id").asc_nulls_last()]
-    return _key(body, order, "product_key", scalable).select(*GOLD_COLUMNS["dim_products"])
+    return _key(body, ["start_date", "product_number", "product_id"], "product_key", scalable) \
+        .select(*GOLD_COLUMNS["dim_products"])
 
 
 def lookup_key(df: DataFrame, key: str, dim: DataFrame, dim_key: str, surrogate: str) -> DataFrame:
