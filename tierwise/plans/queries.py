@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import full_name, period_start
+from ..functions.expressions import full_name
 from ..operators import analytics as A
 
 Gold = dict[str, DataFrame]
@@ -22,19 +22,19 @@ def _dated(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("order_date").isNotNull())
 
 
-def _totals(grain: str, out: str):
+def _totals() -> dict:
     return dict(total_sales=F.sum("sales_amount"),
                 total_customer=F.count_distinct("customer_key"),
                 total_quantity=F.sum("quantity"))
 
 
 def q01_monthly_sales(g: Gold) -> DataFrame:
-    return A.period_rollup(g["fact_sales"], "order_date", "month", _totals("month", "order_date")) \
+    return A.period_rollup(g["fact_sales"], "order_date", "month", _totals()) \
         .orderBy(F.col("order_date").asc_nulls_last())
 
 
 def q02_yearly_sales(g: Gold) -> DataFrame:
-    return A.period_rollup(g["fact_sales"], "order_date", "year", _totals("year", "order_date")) \
+    return A.period_rollup(g["fact_sales"], "order_date", "year", _totals()) \
         .orderBy(F.col("order_date").asc_nulls_last())
 
 
