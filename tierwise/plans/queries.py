@@ -90,8 +90,9 @@ def customer_spending(g: Gold, value: str = "total_spending") -> DataFrame:
         F.sum("sales_amount").alias(value),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"))
+    # Inner join to the dimension only filters (no dimension column is used, keys are unique): a semi join.
     c = g["dim_customers"].select("customer_key")
-    j = per_key.join(c, "customer_key", "inner")
+    j = per_key.join(c, "customer_key", "left_semi")
     j = j.withColumn("lifespan", A.lifespan_months(F.col("first_order"), F.col("last_order")))
     return j.withColumn("customer_tier", A.customer_tier(F.col("lifespan"), F.col(value)))
 
