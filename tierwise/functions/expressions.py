@@ -78,11 +78,15 @@ def int_to_date(c: ColumnOrName) -> Column:
 
     0 or a value whose text is not 8 characters gives NULL; 8-character
     garbage (e.g. 20139999) also gives NULL instead of failing the load.
+    Pure integer arithmetic (no per-row text formatting or parsing): the
+    8-character test is a numeric range and the date is built from its parts.
     """
-    c = col(c)
-    text = c.cast("string")
-    return (F.when((c == 0) | (F.length(text) != 8), F.lit(None).cast("date"))
-            .otherwise(F.try_to_date(text, "yyyyMMdd")))
+    v = col(c)
+    eight_chars = v.between(10_000_000, 99_999_999) | v.between(-9_999_999, -1_000_000)
+    built = F.try_make_timestamp_ntz(int_div(v, F.lit(10_000)).cast("int"),
+                                     (int_div(v, F.lit(100)) % 100).cast("int"),
+                                     (v % 100).cast("int"), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    return F.when((v == 0) | ~eight_chars, F.lit(None).cast("date")).otherwise(built)
 
 
 def date_to_int(c: ColumnOrName) -> Column:
