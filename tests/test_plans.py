@@ -87,12 +87,13 @@ def test_reports_aggregate_before_join(wh):
     assert any("HashAggregate" in l for l in lines[join + 1:])
 
 
-def test_fact_lookup_bypasses_null_keys(wh):
+def test_fact_lookup_spreads_null_keys_in_one_pass(wh):
     from tierwise.plans.gold import fact_sales
     s = {k: v.drop("dwh_create_date") for k, v in wh.silver.items()}
     p = plan(fact_sales(s, wh.gold))
-    assert "Union" in p
-    assert re.search(r"isnull\(sls_cust_id#\d+L?\)", p) and re.search(r"isnull\(sls_prd_key#\d+\)", p)
+    assert sum(1 for l in p.split("\n") if "FileScan" in l and "sls_ord_num" in l) == 1
+    assert sum(1 for l in p.split("\n") if "Join" in l) == 2
+    assert "xxhash64" in p and "Union" not in p
 
 
 def test_distributed_surrogate_key_has_no_single_partition_exchange(spark):
@@ -161,3 +162,20 @@ def test_hot_customer_lookup_is_split_by_aqe(spark):
 def test_share_of_total_uses_a_scalar_grand_total(wh):
     p = plan(Q.q17_country_share(wh.gold))
     assert "Subquery" in p and "Window [" not in p
+
+
+def test_null_heavy_lookup_is_exact_without_broadcast(spark):
+    from tierwise.plans.gold import lookup_key
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(9000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None))
+                                      .otherwise(F.col("id") % 100).cast("bigint").alias("cust"))
+        dim = spark.range(0, 50).select((F.col("id") + 1000).alias("sk"), F.col("id").alias("cid"))
+        out = lookup_key(df, "cust", dim, "cid", "sk")
+        assert out.count() == 9000
+        assert out.where(F.col("cust").isNull() & F.col("sk").isNotNull()).count() == 0
+        assert out.where(F.col("cust") < 50).where(F.col("sk") != F.col("cust") + 1000).count() == 0
+        assert out.where(F.col("cust") >= 50).where(F.col("sk").isNotNull()).count() == 0
+        assert "SortMergeJoin" in plan(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -76,17 +76,21 @@ def dim_products(silver: dict[str, DataFrame], scalable: bool = True) -> DataFra
 
 
 def lookup_key(df: DataFrame, key: str, dim: DataFrame, dim_key: str, surrogate: str) -> DataFrame:
-    """Left join ``df.key = dim.dim_key`` adding ``surrogate``; NULL keys bypass the join.
-
-    A NULL business key can never match, so those rows get a NULL surrogate
-    without entering the join's exchange: a NULL-heavy fact does not pile up
-    in the single partition NULL hashes to. Remaining hot keys are split by
-    AQE's skew-join handling.
+    """Left join ``df.key = dim.dim_key`` adding ``surrogate``, in one pass, NULL keys spread.
+
+    The join runs on ``(key IS NULL, coalesce(key, hash(row)))`` against the
+    dimension's ``(false, dim_key)``: a NULL key can never match (its flag is
+    true), and instead of all hashing to one shuffle partition, NULL-key rows
+    are spread by a deterministic hash of the row (computed only for them,
+    ``coalesce`` short-circuits). Remaining hot keys are split by AQE's
+    skew-join handling.
     """
-    d = dim.select(F.col(surrogate), F.col(dim_key).alias("_lk"))
-    hit = df.where(F.col(key).isNotNull()).join(d, F.col(key) == F.col("_lk"), "left").drop("_lk")
-    miss = df.where(F.col(key).isNull()).withColumn(surrogate, F.lit(None).cast(dim.schema[surrogate].dataType))
-    return hit.unionByName(miss)
+    t = df.schema[key].dataType
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]).cast(t)
+    left = df.withColumns({"_lk_null": F.col(key).isNull(), "_lk_val": F.coalesce(F.col(key), spread)})
+    right = dim.select(F.col(surrogate), F.lit(False).alias("_dk_null"), F.col(dim_key).cast(t).alias("_dk_val"))
+    cond = (F.col("_lk_null") == F.col("_dk_null")) & (F.col("_lk_val") == F.col("_dk_val"))
+    return left.join(right, cond, "left").drop("_lk_null", "_lk_val", "_dk_null", "_dk_val")
 
 
 def fact_sales(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
