@@ -134,12 +134,13 @@ def share_of_total(df: DataFrame, key: str | Sequence[str], value: str, total: s
                    pct: str = "percentage_of_total") -> DataFrame:
     """Grand total over all groups and each group's share as text.
 
-    ``SUM(value) OVER ()`` computed as a scalar subquery: one partially
-    aggregated value, so the group rows are never gathered into one partition
-    however many groups there are.
+    Expects one row per group (aggregate first). The total is ``SUM(value)
+    OVER ()`` over those group rows: one small single-partition window on the
+    aggregated result. A scalar subquery instead would re-run the whole
+    aggregation (a second pass over the fact) to save a window over a few rows.
     """
-    grand = df.select(F.sum(value)).scalar()
-    return (df.withColumn(total, grand)
+    w = Window.partitionBy()
+    return (df.withColumn(total, F.sum(value).over(w))
             .withColumn(pct, pct_text(F.col(value), F.col(total))))
 
 
