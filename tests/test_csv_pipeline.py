@@ -106,6 +106,6 @@ def test_command_line_refresh(spark, tmp_path, capsys):
     (erp / "PX_CAT_G1V2.csv").write_text("ID,CAT,SUBCAT,MAINTENANCE\nAC_HE,Accessories,Helmets,No\n")
     assert main(["refresh", "--landing", str(tmp_path), "--out", str(tmp_path / "out"), "--as-of", "2025-06-01"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
-    assert "gold.fact_sales" in lines[0]["published"]
+    assert "gold.fact_sales" in lines[0]["published"] and "quality.dq_suite" in lines[0]["published"]
     checks = {x["check"]: x["violations"] for x in lines[1:]}
     assert checks["k09_orphan_fact_products"] == 2   # SO3 and SO4 reference no current product

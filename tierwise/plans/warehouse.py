@@ -59,11 +59,12 @@ class Warehouse:
         import datetime as _dt
 
         from .sql_api import create_report_views, register_functions
-        ensure_layers(self.spark, root=self.root)
+        layers = [("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)]
+        if self.quality is not None:
+            layers.append(("quality", {"dq_suite": self.quality}))
+        ensure_layers(self.spark, layers=[name for name, _ in layers], root=self.root)
         register_functions(self.spark)
-        names = [publish_table(self.spark, self.root, layer, t)
-                 for layer, frames in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold))
-                 for t in frames]
+        names = [publish_table(self.spark, self.root, layer, t) for layer, frames in layers for t in frames]
         create_report_views(self.spark, str(as_of or self.as_of or _dt.date.today()))
         return names + ["report_customers", "report_products"]
 
