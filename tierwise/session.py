@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove reliable-checkpoint files once their RDD is no longer referenced
+    # (the materialised layers are ordinary files and are not affected).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
