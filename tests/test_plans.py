@@ -174,3 +174,9 @@ def test_null_heavy_lookup_is_exact_without_broadcast(spark):
         assert "SortMergeJoin" in plan(out)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_order_date_filter_is_pushed_into_the_fact_scan(wh):
+    p = plan(Q.q13_category_sales(wh.gold))
+    fact_scan = next(l for l in p.split("\n") if "FileScan" in l and "order_date" in l)
+    assert re.search(r"PushedFilters: \[IsNotNull\(order_date\)", fact_scan)
