@@ -5,7 +5,9 @@ TPC-H-like star (customer, orders, lineitem, part, nation), so this module
 derives bronze-shaped DataFrames from it with plain projections and joins,
 so every derived table grows with the input. Dirty values that exercise the silver rules are
 taken from natural attributes of the rows (discount, tax, market segment,
-order status), never from filters: every input row reaches bronze.
+order status), never from filters. Sales lines join their order and part
+(inner joins; the shared tables have no orphans, so every line item reaches
+bronze).
 
 The same derivation is written in SQL in :mod:`tierwise.plans.oracle`, so
 both engines start from identical bronze rows.
