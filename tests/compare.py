@@ -64,7 +64,8 @@ def main(argv):
     picks = argv[2:]
     import __spark_entry__ as E
     from tierwise.session import build_session
-    spark = build_session()
+    spark = build_session(extra={"spark.driver.memory": os.environ.get("COMPARE_DRIVER_MEMORY", "4g"),
+                                 "spark.driver.maxResultSize": "0"})
     con = oracle_connection(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     bad = 0
