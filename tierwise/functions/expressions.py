@@ -114,7 +114,7 @@ def age_years(as_of: ColumnOrName, birth: ColumnOrName) -> Column:
     return int_div(whole_months(as_of, birth), F.lit(12)).cast("int")
 
 
-def null_after(c: ColumnOrName, as_of: ColumnOrName) -> Column:
+def null_future_dates(c: ColumnOrName, as_of: ColumnOrName) -> Column:
     """Dates after ``as_of`` become NULL."""
     c = col(c)
     return F.when(c > col(as_of), F.lit(None).cast("date")).otherwise(c)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import as_of_col, null_after
+from ..functions.expressions import as_of_col, null_future_dates
 from ..operators import cleansing as C
 from ..sources.schemas import SILVER_COLUMNS
 
@@ -58,7 +58,7 @@ def silver_erp_customers(bronze: DataFrame, as_of=None, fix_gender_case: bool =
     """Strip 'NAS', null future birth dates, normalise gender."""
     return bronze.select(
         C.repair_customer_id("cid").alias("cid"),
-        null_after("bdate", as_of_col(as_of)).alias("bdate"),
+        null_future_dates("bdate", as_of_col(as_of)).alias("bdate"),
         C.standardise_erp_gender("gen", fix_gender_case).alias("gen"),
     )
 
