@@ -9,6 +9,8 @@ import argparse
 import json
 
 from .plans.warehouse import refresh_from_csv
+from pyspark.sql import SparkSession
+
 from .session import build_session
 
 
@@ -21,7 +23,10 @@ def main(argv=None) -> int:
     r.add_argument("--as-of", default=None, help="reporting date replacing NOW() (default: today)")
     r.add_argument("--master", default="local[*]")
     args = ap.parse_args(argv)
-    spark = build_session(args.master)
+    if args.master.startswith("local"):
+        spark = build_session(args.master)          # local defaults (tests, laptops)
+    else:                                           # a cluster: its spark-defaults rule
+        spark = SparkSession.builder.master(args.master).appName("tierwise").getOrCreate()
     wh = refresh_from_csv(spark, args.landing, args.out, args.as_of)
     print(json.dumps({"root": wh.root, "published": wh.publish(args.as_of)}))
     for row in wh.quality.collect():
