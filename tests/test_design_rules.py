@@ -18,7 +18,8 @@ def test_no_local_checkpoint():
 
 def test_no_driver_collection_in_library():
     # only the command line prints the quality summary, one row per check (bounded)
-    assert offenders(r"\.(collect|toPandas|toLocalIterator|take|head)\(") == ["__main__.py:27"]
+    hits = offenders(r"\.(collect|toPandas|toLocalIterator|take|head)\(")
+    assert len(hits) == 1 and hits[0].startswith("__main__.py:")
     assert "wh.quality.collect()" in (LIB / "__main__.py").read_text()
 
 
