@@ -109,3 +109,18 @@ def test_command_line_refresh(spark, tmp_path, capsys):
     assert "gold.fact_sales" in lines[0]["published"] and "quality.dq_suite" in lines[0]["published"]
     checks = {x["check"]: x["violations"] for x in lines[1:]}
     assert checks["k09_orphan_fact_products"] == 2   # SO3 and SO4 reference no current product
+
+
+def test_refresh_into_a_fixed_root_is_idempotent(spark, tmp_path_factory):
+    d = tmp_path_factory.mktemp("landing2")
+    for name, text in (("cust_info.csv", CUST), ("sales_details.csv", SALES), ("cust_az12.csv", AZ12),
+                       ("loc_a101.csv", LOC)):
+        (d / name).write_text(text)
+    files = {"crm_cust_info": "cust_info.csv", "crm_prd_info": PRD, "crm_sales_details": "sales_details.csv",
+             "erp_loc_a101": "loc_a101.csv", "erp_cust_az12": "cust_az12.csv", "erp_px_cat_g1v2": CAT}
+    root = str(tmp_path_factory.mktemp("fixed_root"))
+    snap = []
+    for _ in range(2):
+        w = refresh_from_csv(spark, str(d), root, "2025-06-01", files=files)
+        snap.append({t: sorted(map(tuple, w.gold[t].collect()), key=str) for t in w.gold})
+    assert snap[0] == snap[1] and len(snap[0]["dim_products"]) == 295
