@@ -102,3 +102,25 @@ def test_cent_rounding_matches_decimal_model(spark, pairs):
             p = (Decimal(a) * 100 / Decimal(b)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
             p = abs(p) if p == 0 else p   # numeric has no negative zero: -0.004 rounds to 0.00
             assert row.r == q and row.p == f"{p}%"
+
+
+def test_whole_months_matches_duckdb_age(spark):
+    """Cross-engine: Spark's whole months equals DuckDB's own AGE() on random pairs, month ends included."""
+    import duckdb
+    rnd = random.Random(5)
+    base = dt.date(1990, 1, 1)
+    pairs = []
+    for _ in range(3000):
+        a = base + dt.timedelta(days=rnd.randint(0, 15000))
+        b = base + dt.timedelta(days=rnd.randint(0, 15000))
+        pairs.append((a, b))
+    pairs += [(dt.date(2013, 2, 28), dt.date(2013, 1, 31)), (dt.date(2012, 2, 29), dt.date(2011, 2, 28)),
+              (dt.date(2013, 3, 31), dt.date(2013, 2, 28)), (dt.date(2013, 1, 31), dt.date(2013, 3, 1))]
+    got = [r[0] for r in spark.createDataFrame(pairs, "a date, b date").select(X.whole_months("a", "b")).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (i INTEGER, a DATE, b DATE)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?)", [(i, a, b) for i, (a, b) in enumerate(pairs)])
+    want = [r[0] for r in con.execute(
+        "SELECT CAST(date_part('year', age(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP))) * 12 "
+        "+ date_part('month', age(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP))) AS INTEGER) FROM p ORDER BY i").fetchall()]
+    assert got == want
