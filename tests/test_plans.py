@@ -180,3 +180,10 @@ def test_order_date_filter_is_pushed_into_the_fact_scan(wh):
     p = plan(Q.q13_category_sales(wh.gold))
     fact_scan = next(l for l in p.split("\n") if "FileScan" in l and "order_date" in l)
     assert re.search(r"PushedFilters: \[IsNotNull\(order_date\)", fact_scan)
+
+
+def test_no_registered_query_runs_python_in_its_plan(spark, wh):
+    import __spark_entry__ as E
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SF))
+        assert not re.search(r"EvalPython|PythonUDF|FlatMapGroupsInPandas|MapInPandas|ArrowEvalPython", p), name
