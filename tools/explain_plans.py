@@ -47,27 +47,45 @@ def main() -> None:
     wh = warehouse_for(spark, sf)
     s = {k: v.drop("dwh_create_date") for k, v in wh.silver.items()}
     cases = [
-        ("E1 latest row per key (silver customers)", lambda: S.silver_customers(wh.bronze["crm_cust_info"])),
-        ("G6 fact key lookup", lambda: G.fact_sales(s, wh.gold)),
-        ("G1 distributed surrogate key", lambda: with_surrogate_key(
-            s["crm_cust_info"].select("cst_id", "cst_key"), [F.col("cst_id").asc_nulls_last()], "customer_key",
-            global_max_bytes=None)),
-        ("Q8 rolling 3-month average", lambda: Q.q08_rolling_3_month_avg(wh.gold)),
-        ("Q11 top 5 customers per year", lambda: Q.q11_top5_customers_by_sales(wh.gold)),
-        ("Q15 profit margins", lambda: Q.q15_profit_margins(wh.gold)),
-        ("Q20 customer report", lambda: R.customer_report(wh.gold, "2002-01-01")),
-        ("K8 NOT IN orphans", lambda: orphans_not_in(wh.bronze["crm_sales_details"], "sls_cust_id",
-                                                     wh.silver["crm_cust_info"], "cst_id")),
-        ("DQ suite", lambda: C.suite(wh)),
+        ("E1 latest row per key (silver customers)",
+         "a partial WindowGroupLimit below the exchange on cst_id: one row per key leaves each map task",
+         lambda: S.silver_customers(wh.bronze["crm_cust_info"])),
+        ("G6 fact key lookup",
+         "one scan of silver sales, two left joins on (key IS NULL, coalesce(key, xxhash64(row)))",
+         lambda: G.fact_sales(s, wh.gold)),
+        ("G1 distributed surrogate key",
+         "a checkpointed range sort, then only a P-row offset table is broadcast",
+         lambda: with_surrogate_key(
+             s["crm_cust_info"].select("cst_id", "cst_key"), [F.col("cst_id").asc_nulls_last()], "customer_key",
+             global_max_bytes=None)),
+        ("Q8 rolling 3-month average",
+         "the row-frame window runs after the monthly aggregation (one row per month)",
+         lambda: Q.q08_rolling_3_month_avg(wh.gold)),
+        ("Q11 top 5 customers per year",
+         "pre-aggregation per (year, customer) before the join; a partial WindowGroupLimit before the exchange",
+         lambda: Q.q11_top5_customers_by_sales(wh.gold)),
+        ("Q15 profit margins",
+         "aggregation per product before the join to the product dimension",
+         lambda: Q.q15_profit_margins(wh.gold)),
+        ("Q20 customer report",
+         "Expand for the two exact distinct counts with map-side dedup, then a customer-sized join",
+         lambda: R.customer_report(wh.gold, "2002-01-01")),
+        ("K8 NOT IN orphans",
+         "a plain LeftAnti join (no nested loop) plus two one-row EXISTS subqueries",
+         lambda: orphans_not_in(wh.bronze["crm_sales_details"], "sls_cust_id",
+                                wh.silver["crm_cust_info"], "cst_id")),
+        ("DQ suite",
+         "filter-only checks fused into one aggregation per source table",
+         lambda: C.suite(wh)),
     ]
     parts = ["# Physical plans\n",
              "Generated by `tools/explain_plans.py` on `" + sf + "` (final adaptive plans, expression ids "
              "and paths removed). *Small* = as planned for the test data; *No broadcast* = "
              "`spark.sql.autoBroadcastJoinThreshold=-1`, the shape at 100 TB where dimensions are too large "
              "to broadcast.\n"]
-    for title, build in cases:
+    for title, note, build in cases:
         small = final_plan(build())
-        parts.append(f"\n## {title}\n\n### Small\n\n```\n{small}\n```\n")
+        parts.append(f"\n## {title}\n\nLook for: {note}.\n\n### Small\n\n```\n{small}\n```\n")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
             large = final_plan(build())
