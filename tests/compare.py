@@ -1,6 +1,7 @@
 """Driver-style differential check: Spark query vs DuckDB oracle SQL.
 
 Usage: python tests/compare.py [sf_dir] [name-substring ...]
+Set COMPARE_JSON=<path> to also write a per-query JSON summary.
 """
 
 from __future__ import annotations
@@ -69,6 +70,7 @@ def main(argv):
     con = oracle_connection(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     bad = 0
+    report = {}
     for name, fn in qs.items():
         if picks and not any(p in name for p in picks):
             continue
@@ -89,6 +91,8 @@ def main(argv):
         st, ot = spark_types(df), oracle_types(con, sql[name])
         type_diff = {c: (st[c], ot.get(c)) for c in st if st[c] != ot.get(c)}
         bad += not ok
+        report[name] = {"rows": len(srows), "oracle_rows": len(orows), "match": ok, "types_match": not type_diff,
+                        "seconds": round(ts, 3)}
         print(f"{name:40s} spark={len(srows):7d} oracle={len(orows):7d} {'OK ' if ok else 'BAD'} {ts:.2f}s"
               + (f"  types differ: {type_diff}" if type_diff else ""))
         if not ok:
@@ -98,6 +102,10 @@ def main(argv):
             print("   spark-only", sorted(sd - od)[:4])
             print("   oracle-only", sorted(od - sd)[:4])
     print("mismatches:", bad)
+    if os.environ.get("COMPARE_JSON"):
+        import json
+        with open(os.environ["COMPARE_JSON"], "w") as fh:
+            json.dump({"sf_dir": sf_dir, "mismatches": bad, "queries": report}, fh, indent=1)
     return bad
 
 
