@@ -14,8 +14,8 @@ rows are packed as separate documents; NULL doc_id is kept; an empty table gives
 from __future__ import annotations
 
 import base64
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,16 +29,13 @@ SEQUENCE_TOKENS = 1024
 END_ID = 0
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 DOCS_PER_SHARD = 4096
-#: Fragments kept per worker; the store is emptied when full, so its memory is bounded.
-CACHE_FRAGMENTS = 250_000
+#: Fragments kept per worker (about 200 bytes each); the store is emptied when full, so its memory is bounded.
+CACHE_FRAGMENTS = 500_000
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
-# Space next to other white space, or white space at an end: such texts are encoded whole.
-_UNEVEN = re.compile(r"\s |\x20\s|^\s|\s$")
-
 
 class Encoder(dict):
-    """Fragment -> its ids as little-endian uint16 bytes.
+    """Fragment -> ids of the fragment with a space before it, as 16-bit values.
 
     The pre-tokeniser never joins a space to what precedes it, so a text whose spaces each stand between two
     non-space characters can be cut before every space and its fragments encoded apart.
@@ -59,7 +56,7 @@ class Encoder(dict):
                                       special_tokens={})
 
     def __missing__(self, fragment: str) -> bytes:
-        ids = np.array(self._bpe.encode_ordinary(fragment), dtype="<u2").tobytes()
+        ids = array("H", self._bpe.encode_ordinary(" " + fragment)).tobytes()
         if len(fragment) <= 64:
             if len(self) >= CACHE_FRAGMENTS:
                 self.clear()
@@ -67,12 +64,12 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.uint16)
-        if _UNEVEN.search(text):
-            return np.array(self._bpe.encode_ordinary(text), dtype="<u2")
-        head, *rest = text.split(" ")
-        return np.frombuffer(self[head] + b"".join(map(self.__getitem__, [" " + x for x in rest])), dtype="<u2")
+        parts = text.split(" ")
+        # White space next to a space, or at an end: such texts are encoded whole.
+        if "" in parts or " ".join(map(str.strip, parts)) != text:
+            return np.array(self._bpe.encode_ordinary(text), dtype=np.uint16)
+        raw = array("H", self._bpe.encode_ordinary(parts[0])).tobytes() + b"".join(map(self.__getitem__, parts[1:]))
+        return np.frombuffer(raw, dtype=np.uint16)
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -128,7 +125,7 @@ def _cut(capacity: int, vocabulary: str | None, ranks: str | None):
             for b in text_slices(whole, "text"):
                 rows = []
                 for shard, doc, text in zip(*(b.column(n).to_pylist() for n in ("shard", "doc_id", "text"))):
-                    ids = np.append(enc.ids(text or ""), np.uint16(END_ID)).astype("<u2")
+                    ids = np.append(enc.ids(text or ""), np.uint16(END_ID))
                     full = len(ids) // capacity * capacity
                     rows += [(shard, doc, i, capacity, crc32_ids(ids[i: i + capacity]), len(ids), None)
                              for i in range(0, full, capacity)]
@@ -160,7 +157,7 @@ def _pack_shard(capacity: int, spread: int):
             offset = 0
             for item, start, n in pieces:
                 i = rests[item]
-                ids = np.frombuffer(c["ids"][i], dtype="<u2")[start: start + n]
+                ids = np.frombuffer(c["ids"][i], dtype=np.uint16)[start: start + n]
                 out.append((c["doc_id"][i], c["start"][i] + start, n, crc32_ids(ids), c["doc_tokens"][i],
                             shard + spread * seq, offset))
                 offset += n
