@@ -84,7 +84,7 @@ def split_product_key(df: DataFrame, key: str = "prd_key") -> DataFrame:
     k = F.col(key)
     return df.withColumns({
         "cat_id": F.replace(F.substring(k, 1, 5), F.lit("-"), F.lit("_")),
-        key: F.substring(k, 7, 1 << 30),
+        key: F.substring(k, F.lit(7), F.length(k)),
     })
 
 
@@ -98,32 +98,31 @@ def repair_location_id(c) -> Column:
     return remove_chars(c, "-")
 
 
-# Inputs planned under this size run the plain window (all rows of a key in one
-# task is harmless there); larger inputs use the range-partitioned form, which
-# splits a key holding a large share of the rows over many tasks.
-WINDOW_MAX_BYTES = 16 * 1024 * 1024
-
-
-def add_valid_to(df: DataFrame, key: str, start: str, out: str, tiebreak: Sequence[str] = (),
-                 skew_safe: bool | None = None) -> DataFrame:
+def add_valid_to(df: DataFrame, key: str, start: str, out: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Validity interval end = next version's start - 1 day, as a date.
 
     The LEAD runs on the start column as given (timestamp in bronze); the
     result is cast to date, exactly like ``CAST(LEAD(start) - 1 day AS DATE)``.
     ``tiebreak`` columns make the order total when two versions share a start.
-    ``skew_safe`` None decides by the planned input size.
+
+    A key's versions are split by the month of their start, so that even a key that holds most rows is spread over
+    tasks: one exchange on (key, month) gives each row its successor within the month, and the last
+    row of a month takes the first start of the key's next month from a table with one row per key and month.
     """
-    from .keys import planned_size_bytes
-    from .ordered import lead_within_key
     order = [F.col(start).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
-    if skew_safe is None:
-        size = planned_size_bytes(df)
-        skew_safe = size is None or size > WINDOW_MAX_BYTES
-    if skew_safe:
-        nxt = lead_within_key(df, key, order, start, "_next_start")
-    else:
-        nxt = df.withColumn("_next_start", F.lead(F.col(start)).over(Window.partitionBy(key).orderBy(*order)))
-    return nxt.withColumn(out, (F.col("_next_start") - F.expr("INTERVAL 1 DAY")).cast("date")).drop("_next_start")
+    part = ["_no_key", "_key", "_month"]
+    rows = df.withColumns({
+        "_no_key": F.col(key).isNull(), "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
+        # Versions without a start come last.
+        "_month": F.coalesce(F.year(start) * 12 + F.month(start), F.lit((1 << 31) - 1))})
+    within = Window.partitionBy(*part).orderBy(*order)
+    rows = rows.withColumns({"_next": F.lead(start).over(within), "_last": F.lead(F.lit(1)).over(within).isNull()})
+    heads = rows.groupBy(*part).agg(F.min(start).alias("_first"))
+    heads = heads.withColumn("_after", F.lead("_first").over(Window.partitionBy("_no_key", "_key").orderBy("_month")))
+    rows = rows.join(heads.drop("_first"), part, "left")
+    following = F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_next"))
+    return rows.withColumn(out, (following - F.expr("INTERVAL 1 DAY")).cast("date")) \
+        .drop(*part, "_next", "_last", "_after")
 
 
 def zero_if_null(c) -> Column:

@@ -1,19 +1,9 @@
 """Dense surrogate keys 1..n in key order without a single-partition sort (G1).
 
-``ROW_NUMBER() OVER (ORDER BY k)`` with no partition sends every row to one
-task. Here the rows are range-partitioned on the order keys (sampling is done
-once by the range exchange), sorted within partitions, and checkpointed to the
-shared checkpoint folder so partition contents and order are fixed. Then:
-
-* rows per partition: one aggregate, P rows (P = number of partitions);
-* offset of each partition: running sum over those P rows;
-* key = offset[partition] + position within partition + 1, where the position
-  comes from ``monotonically_increasing_id`` (partition id in the upper bits,
-  record index in the lower 33 bits) on the checkpointed, ordered data.
-
-The only broadcast is the P-row offset table (bounded by the partition count,
-not by the data). Ties in the order keys are broken by the remaining columns
-of the frame so the numbering is deterministic.
+``ROW_NUMBER() OVER (ORDER BY k)`` sends every row to one task. Here the caller names *buckets*: expressions that never
+are NULL and never decrease along the order, such as the month of a leading date. Rows are numbered within their
+bucket (one exchange), and a bucket's offset is the number of rows in all earlier buckets, a running sum over one row per
+bucket. The same plan serves every size.
 """
 
 from __future__ import annotations
@@ -23,53 +13,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import PID, pinned_sort
-
-_PID, _POS, _OFF = "_sk_pid", "_sk_pos", "_sk_off"
-
-
-# Inputs whose planned size is below this are numbered with one global window
-# (a single sorted task of at most this many bytes); larger ones take the
-# distributed path. Both give identical keys.
-GLOBAL_NUMBERING_MAX_BYTES = 16 * 1024 * 1024
-
 
-def planned_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (upper bound without CBO), or None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle, take the distributed path
-        return None
+def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str, buckets: Sequence[Column]) -> DataFrame:
+    """Add a dense ``bigint`` key 1..n following ``order`` (NULL placement as given).
 
+    The first bucket is summed over on its own, the others within it, so the one window without a partition sees one row per
+    value of the first bucket only. ``order`` should be total for a reproducible numbering.
+    """
+    cols = [f"_b{i}" for i in range(len(buckets))]
+    keyed = df.withColumns(dict(zip(cols, buckets)))
+    ranked = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(*cols).orderBy(*order)))
 
-def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str,
-                       num_partitions: int | None = None,
-                       global_max_bytes: int | None = GLOBAL_NUMBERING_MAX_BYTES) -> DataFrame:
-    """Add a dense ``bigint`` key 1..n following ``order`` (NULL placement as given)."""
-    if global_max_bytes:
-        size = planned_size_bytes(df)
-        if size is not None and size <= global_max_bytes:
-            return with_row_number_key(df, order, name)
-    # Reliable checkpoint (spark.checkpoint.dir): survives executor loss and pins
-    # the partition boundaries chosen by the range exchange's sample.
-    fixed = pinned_sort(df, order, num_partitions)
-    positioned = fixed.select(
-        "*",
-        F.col(PID).alias(_PID),
-        (F.monotonically_increasing_id() - F.shiftleft(F.col(PID).cast("bigint"), 33)).alias(_POS),
-    ).drop(PID)
-    counts = positioned.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        _PID,
-        (F.sum("_n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))).alias(_OFF),
-    ).fillna({_OFF: 0})
-    keyed = positioned.join(F.broadcast(offsets), _PID, "inner")
-    return keyed.select(
-        (F.col(_OFF) + F.col(_POS) + 1).cast("bigint").alias(name),
-        *[F.col(c) for c in df.columns],
-    )
+    counts = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    major = counts.groupBy(cols[0]).agg(F.sum("_n").alias("_n")) \
+        .select(cols[0], F.coalesce(F.sum("_n").over(Window.orderBy(cols[0]).rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("_off"))
+    offsets = counts.join(major, cols[0])
+    if len(cols) > 1:
+        minor = F.coalesce(F.sum("_n").over(Window.partitionBy(cols[0]).orderBy(*cols[1:])
+                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        offsets = offsets.withColumn("_off", F.col("_off") + minor)
+    return ranked.join(offsets.drop("_n"), cols).select(
+        (F.col("_off") + F.col("_rn")).cast("bigint").alias(name), *[F.col(c) for c in df.columns])
 
 
 def with_row_number_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Plain form: global ``row_number`` (single partition). For small inputs/tests."""
+    """The same numbering by one global window, for comparison in tests."""
     return df.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name), *df.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cleansing import UNKNOWN
-from ..operators.keys import with_row_number_key, with_surrogate_key
+from ..operators.keys import with_surrogate_key
 from ..sources.schemas import GOLD_COLUMNS
 
 
@@ -26,14 +26,18 @@ def current_rows(df: DataFrame, end_col: str) -> DataFrame:
     return df.where(F.col(end_col).isNull())
 
 
-def _key(df: DataFrame, leading: list[str], name: str, scalable: bool) -> DataFrame:
+def _key(df: DataFrame, leading: list[str], name: str, buckets: list[Column]) -> DataFrame:
     """Number rows by ``leading`` (the source's key order), then by every other column so that
     duplicated business keys (which the quality suite reports) still get deterministic keys."""
     order = [F.col(c).asc_nulls_last() for c in leading + [c for c in df.columns if c not in leading]]
-    return with_surrogate_key(df, order, name) if scalable else with_row_number_key(df, order, name)
+    return with_surrogate_key(df, order, name, buckets)
 
 
-def dim_customers(silver: dict[str, DataFrame], scalable: bool = True) -> DataFrame:
+# Customer ids per numbering bucket.
+IDS_PER_BUCKET = 1 << 16
+
+
+def dim_customers(silver: dict[str, DataFrame]) -> DataFrame:
     """CRM customers enriched with ERP birth date, gender fallback and country."""
     ci = silver["crm_cust_info"].alias("ci")
     ca = silver["erp_cust_az12"].alias("ca")
@@ -51,11 +55,12 @@ def dim_customers(silver: dict[str, DataFrame], scalable: bool = True) -> DataFr
         F.col("la.cntry").alias("country"),
         F.col("ci.cst_create_date").alias("create_date"),
     )
-    return _key(body, ["customer_id", "customer_number"], "customer_key", scalable) \
+    bucket = F.coalesce(F.floor(F.col("customer_id") / IDS_PER_BUCKET).cast("long"), F.lit((1 << 63) - 1))
+    return _key(body, ["customer_id", "customer_number"], "customer_key", [bucket]) \
         .select(*GOLD_COLUMNS["dim_customers"])
 
 
-def dim_products(silver: dict[str, DataFrame], scalable: bool = True) -> DataFrame:
+def dim_products(silver: dict[str, DataFrame]) -> DataFrame:
     """Current product versions with category attributes; keyed after the filter."""
     pn = current_rows(silver["crm_prd_info"], "prd_end_dt").alias("pn")
     pc = silver["erp_px_cat_g1v2"].alias("pc")
@@ -71,26 +76,29 @@ def dim_products(silver: dict[str, DataFrame], scalable: bool = True) -> DataFra
         F.col("pn.prd_line").alias("product_line"),
         F.col("pn.prd_start_dt").alias("start_date"),
     )
-    return _key(body, ["start_date", "product_number", "product_id"], "product_key", scalable) \
+    # Products that start on one day are split by how their number begins.
+    buckets = [F.coalesce("start_date", F.lit("9999-12-31").cast("date")), F.col("product_number").isNull(),
+               F.coalesce(F.substring("product_number", 1, 2), F.lit(""))]
+    return _key(body, ["start_date", "product_number", "product_id"], "product_key", buckets) \
         .select(*GOLD_COLUMNS["dim_products"])
 
 
+# Join keys over which rows without a business key are spread.
+NULL_SALTS = 1024
+
+
 def lookup_key(df: DataFrame, key: str, dim: DataFrame, dim_key: str, surrogate: str) -> DataFrame:
     """Left join ``df.key = dim.dim_key`` adding ``surrogate``, in one pass, NULL keys spread.
 
-    The join runs on ``(key IS NULL, coalesce(key, hash(row)))`` against the
-    dimension's ``(false, dim_key)``: a NULL key can never match (its flag is
-    true), and instead of all hashing to one shuffle partition, NULL-key rows
-    are spread by a deterministic hash of the row (computed only for them,
-    ``coalesce`` short-circuits). Remaining hot keys are split by AQE's
-    skew-join handling.
+    The join runs on ``(salt, key)``: salt 0 on the dimension and for every row that has a key, and a deterministic
+    hash of the row where the key is NULL. Such rows match nothing, as in the plain join, but don't all hash
+    to one shuffle partition. Hot keys are split by AQE's skew-join handling.
     """
-    t = df.schema[key].dataType
-    spread = F.xxhash64(*[F.col(c) for c in df.columns]).cast(t)
-    left = df.withColumns({"_lk_null": F.col(key).isNull(), "_lk_val": F.coalesce(F.col(key), spread)})
-    right = dim.select(F.col(surrogate), F.lit(False).alias("_dk_null"), F.col(dim_key).cast(t).alias("_dk_val"))
-    cond = (F.col("_lk_null") == F.col("_dk_null")) & (F.col("_lk_val") == F.col("_dk_val"))
-    return left.join(right, cond, "left").drop("_lk_null", "_lk_val", "_dk_null", "_dk_val")
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)).cast("int") + 1
+    left = df.withColumn("_lk_salt", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    right = dim.select(F.col(surrogate), F.lit(0).alias("_dk_salt"), F.col(dim_key).alias("_dk_val"))
+    cond = (F.col("_lk_salt") == F.col("_dk_salt")) & (F.col(key) == F.col("_dk_val"))
+    return left.join(right, cond, "left").drop("_lk_salt", "_dk_salt", "_dk_val")
 
 
 def fact_sales(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
