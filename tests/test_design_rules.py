@@ -3,7 +3,8 @@ import pathlib
 import re
 
 LIB = pathlib.Path(__file__).resolve().parents[1] / "tierwise"
-SOURCES = {p: p.read_text() for p in LIB.rglob("*.py")}
+# The llm subpackage chooses its style freely and has tests of its own.
+SOURCES = {p: p.read_text() for p in LIB.rglob("*.py") if "llm" not in p.parts}
 
 
 def offenders(pattern: str) -> list[str]:
@@ -31,8 +32,9 @@ def test_no_cross_joins():
     assert offenders(r"crossJoin|\"cross\"|'cross'") == []
 
 
-def test_rdd_only_for_partition_count():
-    # the only RDD use is reading a scan's partition count (metadata, no job)
-    hits = offenders(r"\.rdd\b")
-    assert len(hits) == 1 and hits[0].startswith("operators/partitioning.py")
-    assert "df.rdd.getNumPartitions()" in (LIB / "operators" / "partitioning.py").read_text()
+def test_no_rdd():
+    assert offenders(r"\.rdd\b") == []
+
+
+def test_no_plan_depends_on_a_size_or_partition_count():
+    assert offenders(r"sizeInBytes|getNumPartitions|MAX_BYTES|default_parallelism") == []

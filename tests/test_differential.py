@@ -11,10 +11,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables abs
 
 def test_all_registered_queries_match_oracle(spark):
     import __spark_entry__ as E
+    from tierwise.plans.registry import all_queries
     con = oracle_connection(SF)
     sql = E.oracle_sql()
     bad = []
-    for name, fn in E.queries().items():
+    for name, fn in all_queries().items():
         df = fn(spark, SF)
         srows = [tuple(r) for r in df.collect()]
         assert name in sql, name
@@ -45,4 +46,4 @@ def test_publish_catalog_views(spark):
     want = [(r.order_date, r.total_sales) for r in
             __import__("tierwise.plans.queries", fromlist=["q"]).q02_yearly_sales(wh.gold).collect()]
     assert [(r.order_date, r.total_sales) for r in got] == want
-    assert spark.table("report_customers").count() > 0
+    assert spark.table("gold.report_customers").count() > 0

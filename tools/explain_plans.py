@@ -51,13 +51,13 @@ def main() -> None:
          "a partial WindowGroupLimit below the exchange on cst_id: one row per key leaves each map task",
          lambda: S.silver_customers(wh.bronze["crm_cust_info"])),
         ("G6 fact key lookup",
-         "one scan of silver sales, two left joins on (key IS NULL, coalesce(key, xxhash64(row)))",
+         "one scan of silver sales, two left joins on (salt, key); NULL keys are spread over salts",
          lambda: G.fact_sales(s, wh.gold)),
         ("G1 distributed surrogate key",
-         "a checkpointed range sort, then only a P-row offset table is broadcast",
+         "rows numbered within buckets after one exchange; offsets from one row per bucket",
          lambda: with_surrogate_key(
              s["crm_cust_info"].select("cst_id", "cst_key"), [F.col("cst_id").asc_nulls_last()], "customer_key",
-             global_max_bytes=None)),
+             [F.floor(F.col("cst_id") / 65536)])),
         ("Q8 rolling 3-month average",
          "the row-frame window runs after the monthly aggregation (one row per month)",
          lambda: Q.q08_rolling_3_month_avg(wh.gold)),
