@@ -62,9 +62,9 @@ def map_codes(c: ColumnOrName, mapping: Mapping[str, str] | Sequence[tuple[Itera
 
 
 def strip_prefix(c: ColumnOrName, prefix: str) -> Column:
-    """``CASE WHEN c LIKE 'p%' THEN SUBSTRING(c, len(p)+1) ELSE c END``."""
+    """The text without ``prefix``, where it starts with it."""
     c = col(c)
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
+    return F.when(c.startswith(prefix), F.substring(c, F.lit(len(prefix) + 1), F.length(c))).otherwise(c)
 
 
 def remove_chars(c: ColumnOrName, chars: str) -> Column:

@@ -86,6 +86,3 @@ def build_silver_table(table: str, bronze: DataFrame, as_of=None, fix_gender_cas
         "erp_px_cat_g1v2": silver_categories,
     }[table](bronze)
 
-
-def build_silver(bronze: dict[str, DataFrame], as_of=None, fix_gender_case: bool = False) -> dict[str, DataFrame]:
-    return {t: build_silver_table(t, df, as_of, fix_gender_case) for t, df in bronze.items()}

@@ -53,24 +53,25 @@ class Warehouse:
             return path
 
     def publish(self, as_of=None) -> list[str]:
-        """Register every layer in the session catalog: ``bronze.*``, ``silver.*``,
-        ``gold.dim_customers`` ... plus the two report views (SQL text, ``as_of`` for
-        NOW()) as temp views ``report_customers`` / ``report_products`` (S4, S7)."""
+        """Register every layer in the session catalog: ``bronze.*``, ``silver.*``, ``gold.dim_customers`` ... and the
+        two report views ``gold.report_customers`` / ``gold.report_products`` (``as_of`` stands for NOW()) (S4, S7)."""
         import datetime as _dt
 
-        from .sql_api import create_report_views, register_functions
+        from . import reports as R
         layers = [("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)]
         if self.quality is not None:
             layers.append(("quality", {"dq_suite": self.quality}))
         ensure_layers(self.spark, layers=[name for name, _ in layers], root=self.root)
-        register_functions(self.spark)
         names = [publish_table(self.spark, self.root, layer, t) for layer, frames in layers for t in frames]
-        create_report_views(self.spark, str(as_of or self.as_of or _dt.date.today()))
-        return names + ["report_customers", "report_products"]
+        when = str(as_of or self.as_of or _dt.date.today())
+        for name, report in (("report_customers", R.customer_report), ("report_products", R.product_report)):
+            write_layer(report(self.gold, when), self.root, "gold", name)
+            names.append(publish_table(self.spark, self.root, "gold", name))
+        return names
 
 
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, as_of=None,
-            scalable_keys: bool = True, fix_gender_case: bool = False, parallel: int = 8,
+            fix_gender_case: bool = False, parallel: int = 8,
             run_checks: bool = False) -> Warehouse:
     """Truncate-and-load every layer: bronze, silver (with audit column), then gold.
 
@@ -102,9 +103,9 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     with ThreadPoolExecutor(max_workers=workers) as pool:
         chains = {t: pool.submit(chain, t) for t in bronze}
         dim_c = pool.submit(lambda: layer("gold", "dim_customers", G.dim_customers(
-            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101"), scalable_keys)))
+            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101"))))
         dim_p = pool.submit(lambda: layer("gold", "dim_products", G.dim_products(
-            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2"), scalable_keys)))
+            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2"))))
         dims = {"dim_customers": dim_c.result(), "dim_products": dim_p.result()}
         fact = layer("gold", "fact_sales", G.fact_sales(silver_of(chains, "crm_sales_details"), dims))
         wh.bronze = {t: f.result()[0] for t, f in chains.items()}
@@ -136,38 +137,17 @@ def open_refresh(spark: SparkSession, root: str, as_of=None) -> Warehouse:
 
 
 _CACHE: dict[tuple, Warehouse] = {}
-_ROOTS: dict[tuple, str] = {}
 _LOCK = threading.Lock()
 
 
-def _fingerprint(sf_dir: str) -> tuple | None:
-    """(name, size, mtime) of the input files on a local file system; None elsewhere."""
-    try:
-        names = sorted(n for n in os.listdir(sf_dir) if n.endswith(".parquet"))
-        return tuple((n, os.stat(os.path.join(sf_dir, n)).st_size, os.stat(os.path.join(sf_dir, n)).st_mtime_ns)
-                     for n in names)
-    except OSError:
-        return None
+def warehouse_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, refresh_id: str = "") -> Warehouse:
+    """The refresh of ``sf_dir`` that this application made under ``refresh_id``; made now if there is none.
 
-
-def warehouse_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Warehouse:
-    """Refresh from the shared test tables once per (data folder, as_of, input version).
-
-    A later session in the same process re-opens the written layers instead of
-    refreshing again, as long as the input files are unchanged.
+    Files aren't watched: after they change, ask under another ``refresh_id``. Another application opens the
+    layers of a known root with :func:`open_refresh`.
     """
-    src = (os.path.abspath(sf_dir), as_of)
-    key = (application_id(spark), *src)
+    key = (application_id(spark), sf_dir, as_of, refresh_id)
     with _LOCK:
-        wh = _CACHE.get(key)
-        if wh is None:
-            fp = _fingerprint(sf_dir)
-            root = _ROOTS.get((*src, fp)) if fp is not None else None
-            if root is not None and os.path.isdir(os.path.join(root, "gold", "fact_sales")):
-                wh = open_refresh(spark, root, as_of)
-            else:
-                wh = refresh(spark, testdata.bronze_from_testdata(spark, sf_dir), as_of=as_of)
-                if fp is not None:
-                    _ROOTS[(*src, fp)] = wh.root
-            _CACHE[key] = wh
-        return wh
+        if key not in _CACHE:
+            _CACHE[key] = refresh(spark, testdata.bronze_from_testdata(spark, sf_dir), as_of=as_of)
+        return _CACHE[key]

@@ -20,13 +20,16 @@ LAYERS = ("bronze", "silver", "gold")
 _QUOTED_EMPTY = "\u0001"
 
 
-def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
     """CSV extract -> typed bronze DataFrame.
 
     Header skipped, columns taken by position against the declared schema,
     and any malformed row fails the load (``COPY`` semantics). As in
     ``COPY ... FORMAT csv``, an unquoted empty field is NULL while a quoted
-    empty field (``""``) is an empty string.
+    empty field (``""``) is an empty string, a doubled quote inside quotes is one
+    quote, a backslash is an ordinary character, and a quoted field may hold line
+    breaks. ``multi_line=False`` reads one record per line, which lets a large file
+    be split over tasks; use it for extracts known to hold no such field.
     """
     schema = BRONZE[table]
     df = (spark.read.schema(schema)
@@ -35,6 +38,8 @@ def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
           .option("mode", "FAILFAST")
           .option("ignoreLeadingWhiteSpace", False)
           .option("ignoreTrailingWhiteSpace", False)
+          .option("quote", '"').option("escape", '"')
+          .option("multiLine", multi_line)
           .option("emptyValue", _QUOTED_EMPTY)
           .option("dateFormat", "yyyy-MM-dd")
           .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
@@ -49,6 +54,7 @@ def write_extract(df: DataFrame, path: str) -> None:
     leading/trailing spaces kept (Spark's CSV writer trims them by default)."""
     (df.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("quote", '"').option("escape", '"')
      .option("dateFormat", "yyyy-MM-dd").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(path))
 
@@ -77,14 +83,10 @@ def with_audit(df: DataFrame) -> DataFrame:
     return df.withColumn(AUDIT_COL, F.localtimestamp())
 
 
-def write_layer(df: DataFrame, root: str, layer: str, table: str,
-                partition_by: list[str] | None = None) -> str:
+def write_layer(df: DataFrame, root: str, layer: str, table: str) -> str:
     """Truncate-and-load one table as parquet under ``root/layer/table``."""
     path = os.path.join(root, layer, table)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
