@@ -5,9 +5,11 @@ TPC-H-like star (customer, orders, lineitem, part, nation), so this module
 derives bronze-shaped DataFrames from it with plain projections and joins,
 so every derived table grows with the input. Dirty values that exercise the silver rules are
 taken from natural attributes of the rows (discount, tax, market segment,
-order status), never from filters. Sales lines join their order and part
-(inner joins; the shared tables have no orphans, so every line item reaches
-bronze).
+order status), never from filters: unknown and missing customers and products
+among the sales lines, missing and repeated product ids, versions of a product
+that start on one day, categories listed twice, ERP rows without or with
+several CRM customers, untrimmed and over-long text. Sales lines left-join their
+order and part, so every line item reaches bronze.
 
 The same derivation is written in SQL in :mod:`tierwise.plans.oracle`, so
 both engines start from identical bronze rows.
@@ -31,7 +33,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import date_to_int
-from ..operators.partitioning import ensure_parallelism
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -43,13 +44,8 @@ START_CYCLE_DAYS = 7300         # start = epoch + (partkey % cycle) days + (part
 DUE_DAYS = 90                   # due date = order date + 90 days
 
 
-# Tables large enough to be worth spreading when their files yield few splits.
-FACT_TABLES = ("orders", "lineitem")
-
-
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    out = {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
-    return {n: ensure_parallelism(df) if n in FACT_TABLES else df for n, df in out.items()}
+    return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
 
 
 def _customer_number(key: Column, prefix: str = "AW") -> Column:
@@ -64,7 +60,9 @@ def crm_cust_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return j.select(
         F.col("o_custkey").alias("cst_id"),
         _customer_number(F.col("c_custkey")).alias("cst_key"),
-        F.concat(F.lit(" "), F.substring_index("c_name", "#", 1)).alias("cst_firstname"),
+        F.concat(F.lit(" "), F.repeat(F.substring_index("c_name", "#", 1),
+                                      F.when(F.col("c_mktsegment") == "FURNITURE", F.lit(7)).otherwise(F.lit(1))))
+         .alias("cst_firstname"),
         F.concat(F.substring_index("c_name", "#", -1), F.lit(" ")).alias("cst_lastname"),
         F.when(F.col("o_orderstatus") == "F", F.lit(" s"))
          .when(F.col("o_orderstatus") == "O", F.lit("M "))
@@ -76,7 +74,11 @@ def crm_cust_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def erp_cust_az12(customer: DataFrame) -> DataFrame:
     seg = F.col("c_mktsegment")
-    key = _customer_number(F.col("c_custkey"))
+    nk = F.col("c_nationkey")
+    # Nation 5's households have keys that no CRM customer has; nation 6's share the key of an even neighbour.
+    key = (F.when((nk == 5) & (seg == "HOUSEHOLD"), _customer_number(F.col("c_custkey"), "ZZ"))
+           .when((nk == 6) & (seg == "HOUSEHOLD"), _customer_number(F.col("c_custkey") - F.col("c_custkey") % 2))
+           .otherwise(_customer_number(F.col("c_custkey"))))
     return customer.select(
         F.when(seg.isin("BUILDING", "AUTOMOBILE"), F.concat(F.lit("NAS"), key)).otherwise(key).alias("cid"),
         F.date_add(F.lit(BIRTH_EPOCH).cast("date"),
@@ -119,15 +121,18 @@ def product_number(name: Column | str = "p_name") -> Column:
 
 
 def _capitalise(c: Column) -> Column:
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))
 
 
 def crm_prd_info(part: DataFrame) -> DataFrame:
+    # Parts of sizes 45 to 47 start within one day, one second per key.
     start = F.expr(
-        f"timestampadd(SECOND, p_partkey div {START_CYCLE_DAYS}, "
-        f"timestampadd(DAY, p_partkey % {START_CYCLE_DAYS}, TIMESTAMP_NTZ'{START_EPOCH}'))")
+        f"CASE WHEN p_size BETWEEN 45 AND 47 THEN timestampadd(SECOND, p_partkey % 86400, TIMESTAMP_NTZ'{START_EPOCH}') "
+        f"ELSE timestampadd(SECOND, p_partkey div {START_CYCLE_DAYS}, "
+        f"timestampadd(DAY, p_partkey % {START_CYCLE_DAYS}, TIMESTAMP_NTZ'{START_EPOCH}')) END")
     return part.select(
-        F.col("p_partkey").alias("prd_id"),
+        F.when(F.col("p_size") == 49, F.lit(None)).when(F.col("p_size") == 48, F.col("p_partkey") - 1)
+         .otherwise(F.col("p_partkey")).alias("prd_id"),
         F.concat(_category_code("-"), F.lit("-"), product_number()).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         F.when(F.col("p_size") >= 50, F.lit(None).cast("int")).otherwise(F.col("p_size") * 40).alias("prd_cost"),
@@ -141,10 +146,13 @@ def crm_prd_info(part: DataFrame) -> DataFrame:
 def erp_px_cat_g1v2(part: DataFrame) -> DataFrame:
     thing = _thing()
     return part.select(
-        _category_code("_").alias("id"),
+        # Anvils are listed under codes that no product has.
+        F.when(thing == "anvil", F.concat(F.lit("X"), _category_code("_"))).otherwise(_category_code("_")).alias("id"),
         _capitalise(thing).alias("cat"),
-        _capitalise(_colour()).alias("subcat"),
-        F.when(thing.isin("gear", "gizmo", "widget"), F.lit("Yes")).otherwise(F.lit("No")).alias("maintenance"),
+        F.concat(F.when(thing == "widget", F.lit(" ")).otherwise(F.lit("")), _capitalise(_colour())).alias("subcat"),
+        # Gizmos of size 50 contradict the others: their category occurs twice.
+        F.when(thing.isin("gear", "widget") | ((thing == "gizmo") & (F.col("p_size") != 50)), F.lit("Yes"))
+         .otherwise(F.lit("No")).alias("maintenance"),
     ).distinct()
 
 
@@ -153,15 +161,19 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
                          "l_shipdate")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     p = part.select("p_partkey", "p_name")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(p, li.l_partkey == p.p_partkey, "inner")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "left").join(p, li.l_partkey == p.p_partkey, "left")
     qty = F.col("l_quantity").cast("int")
-    base = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
+    # Every tenth customer buys, and every widget sells, at a price of 1 (smaller tiers occur).
+    cheap = (F.col("o_custkey") % 10 == 0) | (F.substring_index("p_name", " ", -1) == "widget")
+    base = F.when(cheap, F.lit(1)).otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int"))
     disc, tax = F.col("l_discount"), F.col("l_tax")
     order_int = date_to_int("o_orderdate")
     return j.select(
         F.concat(F.lit("SO"), F.col("l_orderkey").cast("string")).alias("sls_ord_num"),
-        product_number().alias("sls_prd_key"),
-        F.col("o_custkey").alias("sls_cust_id"),
+        F.when((disc == 0.07) & (tax == 0.07), F.concat(F.lit("UNKNOWN-"), product_number()))
+         .when((disc == 0.08) & (tax == 0.07), F.lit(None)).otherwise(product_number()).alias("sls_prd_key"),
+        F.when((disc == 0.05) & (tax == 0.05), F.lit(None)).when((disc == 0.06) & (tax == 0.05), -F.col("o_custkey"))
+         .otherwise(F.col("o_custkey")).alias("sls_cust_id"),
         F.when(disc == 0.0, F.lit(0)).when(disc == 0.1, F.call_function("div", order_int, F.lit(100)).cast("int"))
          .otherwise(order_int).alias("sls_order_dt"),
         date_to_int("l_shipdate").alias("sls_ship_dt"),
