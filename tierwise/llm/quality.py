@@ -49,13 +49,13 @@ def _discounted(counts: DataFrame, context: str) -> DataFrame:
     """Rows (lang, ``context``, gram, m) -> with the discounted share ``p`` of the context and its weight ``gamma``.
 
     Discounts follow from the counts of counts n1..n4: D_i = i - (i + 1) * Y * n_{i+1} / n_i with Y = n1 / (n1 + 2 n2); where a
-    count of counts is missing, the discount is 0.5 * min(i, 3) / 3 of the count at most, so that gamma stays positive.
+    count of counts is missing or D_i isn't between 0 and i, it is i / 2, so that gamma stays positive.
     """
     n = counts.groupBy("lang").agg(*[F.sum((F.col("m") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0.0))
 
     def d(i: int):
-        plain = F.lit(float(i)) - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
+        plain = F.lit(float(i)) - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0.0))
         usable = (F.col(f"n{i}") > 0) & (F.col("n1") > 0) & (plain > 0) & (plain < i)
         return F.when(usable, plain).otherwise(F.lit(0.5 * i)).alias(f"d{i}")
 
