@@ -92,11 +92,8 @@ def write_archive(pages: DataFrame, path: str) -> None:
     keyed.select("page_id", "url", "digest", "bytes", "refers_to").mapInArrow(
         _headers, f"page_id {kind}, digest string, header binary").write.option("compression", "zstd") \
         .parquet(f"{path}/records")
-    # One row per digest: the smallest page's; rows tied on it hold the same bytes.
-    winners = rows.select("digest", "page_id", "body").join(
-        first.select(F.col("digest").alias("_d"), "first_id"),
-        (F.col("digest") == F.col("_d")) & F.col("page_id").eqNullSafe(F.col("first_id")), "left_semi")
-    winners.dropDuplicates(["digest"]).select("digest", "body").write.option("compression", "none") \
+    # Rows of one digest hold the same bytes, so any of them will do: one shuffle, after combining in the map tasks.
+    rows.groupBy("digest").agg(F.first("body").alias("body")).write.option("compression", "none") \
         .parquet(f"{path}/payloads")
 
 
