@@ -27,6 +27,35 @@ def test_all_registered_queries_match_oracle(spark):
     assert bad == []
 
 
+# Columns that each question's ORDER BY names; rows alike in them may come in any order.
+ORDERED_BY = {
+    "q01_monthly_sales": ["order_date"], "q02_yearly_sales": ["order_date"], "q03_yoy_change": ["order_year"],
+    "q04_mom_change": ["order_year"], "q05_running_total_monthly": ["order_month"],
+    "q06_running_total_yearly_reset": ["order_month"], "q07_running_total_yearly": ["order_year"],
+    "q08_rolling_3_month_avg": ["order_month"], "q09_cost_ranges": ["total_products"],
+    "q10_customer_tiers": ["total_customers"], "q11_top5_customers_by_sales": ["order_year", "rank"],
+    "q12_top5_customers_by_quantity": ["order_year", "rank"], "q13_category_sales": ["category", "total_amount"],
+    "q14_product_yearly_performance": ["product_name", "order_year"],
+    "q15_profit_margins": ["category", "subcategory", "product_name"], "q16_category_share": ["total_amount"],
+    "q17_country_share": ["total_amount"], "q18_gender_share": ["total_amount"], "q19_tier_share": ["percentage_of_total"],
+}
+
+
+def test_ordered_questions_return_their_rows_in_order(spark):
+    import __spark_entry__ as E
+    from tierwise.plans.registry import all_queries
+    con, sql, qs = oracle_connection(SF), E.oracle_sql(), all_queries()
+    assert set(ORDERED_BY) == {n for n in qs if n[0] == "q" and n[1:3].isdigit() and n[1:3] <= "19"}
+    bad = []
+    for name, keys in ORDERED_BY.items():
+        got = [tuple(str(r[k]) for k in keys) for r in qs[name](spark, SF).collect()]
+        res = con.execute(sql[name])
+        at = [[d[0] for d in res.description].index(k) for k in keys]
+        if got != [tuple(str(r[i]) for i in at) for r in res.fetchall()]:
+            bad.append(name)
+    assert bad == []
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
