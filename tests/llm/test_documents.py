@@ -184,3 +184,26 @@ def test_packing(spark):
     packed = pack_lengths(lengths, 1024)
     assert len(packed) == -(-int(lengths.sum()) // 1024)
     assert sum(n for s in packed for _, _, n in s) == lengths.sum()
+
+
+def test_secrets_next_to_base_spans_and_names(spark):
+    from tierwise.llm.secrets import MASK, candidates, mask_secrets, scan
+    overlapping = 'password = "hunter2$Lk39dkfjQ2x!pZ81vTq"'
+    named = 'private clientCredential = "k3JvQ9$Lw2Rt8BnYp4Ks"'
+    within = "token=" + "9f" * 15
+    docs = documents(spark, extra=[(400 + i, t, "en", "a") for i, t in enumerate((overlapping, named, within) * 3)])
+    got = {r["doc_id"]: r for r in collected(scan(docs))}
+    masked = {r.doc_id: r.text for r in mask_secrets(docs).collect()}
+    for i in range(400, 409, 3):                # copies, so that what they hold could get into the dictionary
+        assert "assign:0:19" in got[i]["spans"] and f"novel:12:{len(overlapping) - 1}" in got[i]["spans"]
+        assert masked[i] == MASK + '"'
+        assert f"novel:{named.index('k3')}:{len(named) - 1}" in got[i + 1]["spans"] and "k3Jv" not in masked[i + 1]
+        assert "Lw2R" not in masked[i + 1] and got[i + 2]["n_novel"] == 0
+    assert candidates("key=" * 50_000)[0] == (4, 200_000)          # one long run is cut only once
+
+
+def test_long_run_of_names_ends():
+    from tierwise.llm.secrets import compressor, novel_spans
+    assert novel_spans("key=" * 20_000, compressor(b"")) == []
+    inner = "bearer=" + "private=" * 8 + "k3JvQ9xLw2Rt8BnYp4KsZc7Md1Fh"
+    assert novel_spans(inner, compressor(b""))[-1][2] == len(inner)

@@ -4,7 +4,8 @@ Three patterns find the base kinds (``assign``, ``access``, ``hex``). Beyond the
 follows a sensitive name (``sensitive`` below) is a candidate; its novelty is what it adds to the zstandard size of
 the text around it, per byte, with a dictionary of the identifiers that are most frequent around candidates of the whole
 corpus. Names, paths and repeated placeholders compress against that dictionary or their surroundings; keys don't,
-and are reported as kind ``novel``.
+and are reported as kind ``novel``. Every sensitive name starts a candidate of its own, also one inside another candidate's
+string; only candidates that lie wholly within a base span, or within a novel one, are not reported.
 
 Edge cases: NULL text counts as empty; without spans the digest is that of the empty string and ``spans`` is empty;
 repeated rows get equal results; an empty table gives an empty result.
@@ -14,8 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -33,13 +36,17 @@ KINDS = ("assign", "access", "hex", "novel")
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "private", "signature")
-CANDIDATE = re.compile(r"(?:" + "|".join(SENSITIVE) + r")[a-z0-9_-]{0,24}[\"']?[\x20\t]*(?::=|=>|->|[:=\x20])[\x20\t]*"
-                       r"[\"'`<]?([a-z0-9+/_=.~$@!%^&*-]{12,})", re.IGNORECASE | re.ASCII)
+_VALUE = r"[a-z0-9+/_=.~$@!%^&*-]"
+# Consumes the sensitive name only; the first characters of its string are looked ahead to.
+CANDIDATE = re.compile(r"(?:" + "|".join(SENSITIVE) + r")(?=[a-z0-9_-]{0,24}[\"']?[\x20\t]*(?::=|=>|->|[:=\x20])[\x20\t]*"
+                       r"[\"'`<]?(" + _VALUE + r"{12}))", re.IGNORECASE | re.ASCII)
+VALUE = re.compile(_VALUE + "+", re.IGNORECASE | re.ASCII)
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,31}", re.ASCII)
 AROUND = 256                # characters of surroundings on either side
 DICTIONARY_BYTES = 16384    # bound of what is sent to the tasks
 DICTIONARY_WORDS = 2048
 NOVELTY = 0.75              # added compressed bytes per byte of the candidate
+PART_BYTES = 64             # by how much the end of a string may add more than the whole string
 MASK = "<secret>"
 
 _HEX_MAP = bytes(120 if chr(i) in "0123456789abcdef" else 32 for i in range(256))
@@ -63,14 +70,38 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Strings after a sensitive name that no base span overlaps."""
+def _named(text: str) -> list[tuple[int, int, int]]:
+    """(start of the name, start, end) of each distinct string after a sensitive name, by start of the string."""
     low = text.lower()
     if not any(k in low for k in SENSITIVE):
         return []
-    found = [m.span(1) for m in CANDIDATE.finditer(text)]
+    out: dict[int, tuple[int, int, int]] = {}
+    begin = end = 0
+    for m in CANDIDATE.finditer(text):
+        s = m.start(1)
+        if not begin <= s < end:                # else it is the rest of the same run of characters
+            begin, end = s, VALUE.match(text, s).end()
+        out[s] = (m.start(), s, end)            # of several names before a string, the nearest
+    return [out[s] for s in sorted(out)]
+
+
+def _outside(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those that don't lie wholly within a base span."""
     taken = base_spans(text) if found else []
-    return [(s, e) for s, e in found if not any(s < b and a < e for _, a, b in taken)]
+    starts, reach = [s for _, s, _ in taken], list(accumulate((e for _, _, e in taken), max))
+    return [x for x in found if not (i := bisect_right(starts, x[1])) or reach[i - 1] < x[2]]
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Strings after a sensitive name that don't lie wholly within a base span."""
+    return [(s, e) for _, s, e in _outside(text, _named(text))]
+
+
+def anchors(text: str) -> list[tuple[int, int]]:
+    """The candidates around which identifiers are counted: not names themselves, whose surroundings hold their string."""
+    found = _outside(text, _named(text))
+    names = sorted(k for k, _, _ in found)
+    return [(s, e) for _, s, e in found if (i := bisect_right(names, s - 1)) == len(names) or names[i] >= e]
 
 
 def surroundings(text: str, start: int, end: int) -> str:
@@ -82,10 +113,27 @@ def compressor(identifiers: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=9, dict_data=prime, write_content_size=False)
 
 
-def novelty(packer: zstandard.ZstdCompressor, text: str, start: int, end: int) -> float:
-    """Compressed bytes that the candidate adds to its surroundings, per byte of it."""
+def added_bytes(packer: zstandard.ZstdCompressor, text: str, start: int, end: int) -> int:
+    """Compressed bytes that the candidate adds to its surroundings."""
     around, own = surroundings(text, start, end).encode(), text[start:end].encode()
-    return (len(packer.compress(around + b"\n" + own)) - len(packer.compress(around + b"\n"))) / len(own)
+    return len(packer.compress(around + b"\n" + own)) - len(packer.compress(around + b"\n"))
+
+
+def novel_spans(text: str, packer: zstandard.ZstdCompressor) -> list[Span]:
+    """The candidates that add at least :data:`NOVELTY` bytes per byte (they are ASCII) and lie in no other such candidate."""
+    out: list[Span] = []
+    run, most = -1, 0.0
+    for s, e in candidates(text):
+        if e != run:
+            run, most = e, float("inf")
+        if NOVELTY * (e - s) > most:            # the whole string's bytes leave too few for this part of it
+            continue
+        n = added_bytes(packer, text, s, e)
+        most = min(most, n + PART_BYTES)
+        if n >= NOVELTY * (e - s):
+            out.append(("novel", s, e))
+            most = 0.0                          # the candidates left in this run lie in this one
+    return out
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -99,7 +147,7 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for t in texts:
             words: set[str] = set()
-            for s, e in candidates(t):
+            for s, e in anchors(t):
                 words.update(IDENTIFIER.findall(surroundings(t, s, e)))
             seen.update(words)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
@@ -117,8 +165,7 @@ def identifier_dictionary(documents: DataFrame) -> bytes:
 
 
 def all_spans(text: str, packer: zstandard.ZstdCompressor) -> list[Span]:
-    extra = [("novel", s, e) for s, e in candidates(text) if novelty(packer, text, s, e) >= NOVELTY]
-    return sorted(base_spans(text) + extra, key=lambda s: (s[1], KINDS.index(s[0])))
+    return sorted(base_spans(text) + novel_spans(text, packer), key=lambda s: (s[1], KINDS.index(s[0])))
 
 
 def _joined(spans: list[Span]) -> str:
