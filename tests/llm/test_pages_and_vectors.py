@@ -137,6 +137,32 @@ def test_nearest_neighbours(spark):
     assert nearest(df.where("false"), 20, F.col("id") % 20 == 0).count() == 0
 
 
+def _one_dense_group(n, d, cosine, seed):
+    """Unit vectors, a third of them distinct members of one group of that mean cosine."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    m = n // 3
+    x[:m] = x[0] + math.sqrt((1 / cosine - 1) / d) * rng.normal(size=(m, d))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_neighbours_within_a_dense_group(spark):
+    from tierwise.llm.nn_descent import nearest
+    x = _one_dense_group(1500, 32, 0.9998, 9)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in nearest(df, 20, (F.col("id") % 20 == 0) & (F.col("id") < 500)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    x = x.astype(np.float64)
+    hits = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(found & set(np.argsort(-s)[:20].tolist()))
+    assert len(got) == 25 and hits / (20 * 25) >= 0.98
+
+
 def _texts(seed, n):
     rnd = random.Random(seed)
     alphabets = {"en": ["the", "ing", "tion", "er", "wh"], "fr": ["é", "eau", "ou", "qu", "ment"], "de": ["sch", "ü", "ung", "ein", "ß"]}
