@@ -163,6 +163,20 @@ def test_neighbours_within_a_dense_group(spark):
     assert len(got) == 25 and hits / (20 * 25) >= 0.98
 
 
+def test_graph_is_built_until_few_lists_change(spark, monkeypatch):
+    from tierwise.llm import nn_descent as N
+    monkeypatch.setattr(N, "CELL", 8)                       # so that the start is far from exact
+    x = _one_dense_group(1500, 24, 0.975, 10).astype(np.float64)
+    nodes = spark.createDataFrame([(i, x.shape[1], bytearray(r.tobytes())) for i, r in enumerate(x)],
+                                  "node long, dim int, v binary")
+    hits = 0
+    for r in N.build_graph(nodes, len(x)).collect():
+        s = x @ x[r.a]
+        s[r.a] = -np.inf
+        hits += len(set(np.frombuffer(r.b, np.int64).tolist()) & set(np.argsort(-s)[:N.DEGREE].tolist()))
+    assert hits / (N.DEGREE * len(x)) >= 0.97
+
+
 def _texts(seed, n):
     rnd = random.Random(seed)
     alphabets = {"en": ["the", "ing", "tion", "er", "wh"], "fr": ["é", "eau", "ou", "qu", "ment"], "de": ["sch", "ü", "ung", "ein", "ß"]}
