@@ -135,6 +135,30 @@ def test_sketches_bound_the_difference():
         assert d <= len(x ^ y) and d >= 0.8 * len(x ^ y) and (len(x ^ y) - d) % 2 == 0
 
 
+def test_sketches_of_unequal_sets_above_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    from tierwise.llm.neardup import _ADD, SAMPLE, SKETCH_BITS, may_link, mix64
+    rng = np.random.default_rng(12)
+
+    def sketch(h):
+        bit = (mix64(np.sort(h)[:SAMPLE] ^ _ADD[2]) % np.uint64(SKETCH_BITS)).astype(np.int64)
+        odd = np.bincount(bit, minlength=SKETCH_BITS) & 1
+        return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    rows = []
+    for n, m, trials in ((20_000, 17_000, 2000), (1200, 1020, 500)):      # one holds the other, at exactly 85 percent
+        for _ in range(trials):
+            h = rng.integers(0, 2**64, n, dtype=np.uint64)
+            rows.append((True, (n, sketch(h)), (m, sketch(h[:m]))))
+            if len(rows) % 10 == 0:
+                rows.append((False, (n, sketch(h)), (m, sketch(rng.integers(0, 2**64, m, dtype=np.uint64)))))
+    pairs = spark.createDataFrame(rows, "linked boolean, x struct<n: long, sketch: array<long>>, "
+                                        "y struct<n: long, sketch: array<long>>")
+    found = {r.linked: r for r in pairs.groupBy("linked").agg(F.count_if(may_link("x", "y", 85)).alias("may"),
+                                                              F.count(F.lit(1)).alias("n")).collect()}
+    assert found[True].may == found[True].n == 2500 and found[False].may == 0
+
+
 def test_strip_repeats(spark):
     from tierwise.llm.substrings import strip_repeats
     docs = documents(spark)

@@ -6,8 +6,8 @@ and classes are linked when ``100 * |A & B| >= threshold * |A | B|``.
 1. One scan gives every document its set's size and 128-bit digest, ``BANDS x ROWS`` MinHashes folded into band keys, and
    an odd sketch: the 1,024 smallest shingle hashes, each flipping one of 1,024 bits. Two sketches differ in no more
    bits than their samples differ in members, so for sets within the sample the XOR population count bounds the
-   symmetric difference from below and discarding on it loses nothing; for larger sets the bound is six
-   standard deviations wide.
+   symmetric difference from below and discarding on it loses nothing; for larger sets the bound follows from both
+   sizes and is six standard deviations wide.
 2. Classes that share a band key are candidates. Round one pairs each class with one class of its buckets (the smallest
    whose sketch allows a link); verified links are joined into components. Round two compares the
    classes that lie outside the most frequent component of a bucket with the rest of the bucket: every pair of a bucket
@@ -22,7 +22,6 @@ one document and stay or go together; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,8 +132,14 @@ def may_link(a: str, b: str, threshold: int) -> Column:
                  F.lit(0))
     # Within the sample: |A ^ B| <= (100 - t)(|A| + |B|) / (100 + t) for every linked pair.
     exact = (100 + threshold) * differ <= (100 - threshold) * (na + nb)
-    same = 2 * threshold / (100 + threshold)
-    wide = math.ceil(2 * SAMPLE * (1 - same) + 12 * math.sqrt(SAMPLE * same * (1 - same)))
+    # Beyond it: a linked pair has t (|A| + |B|) / (100 + t) common members or more; the samples share those of them that are among
+    # the larger set's SAMPLE smallest (never less than the share of the smaller set's). Six deviations of that number, then six of
+    # the odd bits that so many differing members leave.
+    p = F.least(threshold * (na + nb) / ((100 + threshold) * F.greatest(na, nb)), F.lit(1.0))
+    noise = F.sqrt(SAMPLE * F.when(p >= 0.5, p * (1 - p)).otherwise(0.25))
+    members = F.least(na, F.lit(SAMPLE)) + F.least(nb, F.lit(SAMPLE)) - 2 * (SAMPLE * p - 6 * noise)
+    odd = (1 - F.exp(-2 * members / SKETCH_BITS)) / 2
+    wide = F.ceil(F.least(members, SKETCH_BITS * odd + 6 * F.sqrt(SKETCH_BITS * odd * (1 - odd))))
     small = (na <= SAMPLE) & (nb <= SAMPLE)
     return ((100 * F.least(na, nb) >= threshold * F.greatest(na, nb))
             & ((small & exact) | (~small & (differ <= wide))))
