@@ -165,3 +165,16 @@ def test_refresh_into_a_fixed_root_is_idempotent(spark, tmp_path_factory):
         w = refresh_from_csv(spark, str(d), root, "2025-06-01", files=files)
         snap.append({t: sorted(map(tuple, w.gold[t].collect()), key=str) for t in w.gold})
     assert snap[0] == snap[1] and len(snap[0]["dim_products"]) == 4
+
+
+def test_extract_without_line_breaks_is_split(spark, tmp_path):
+    from tierwise.sources.bronze import read_all_bronze
+    (tmp_path / "loc.csv").write_text("cid,cntry\n" + "".join(f"AW-{i:08d},Germany\n" for i in range(20_000)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 65536)
+    try:
+        df = read_all_bronze(spark, str(tmp_path), {"erp_loc_a101": "loc.csv"}, multi_line=False)["erp_loc_a101"]
+        assert df.rdd.getNumPartitions() > 1 and df.distinct().count() == 20_000
+    finally:
+        spark.conf.set(key, before)

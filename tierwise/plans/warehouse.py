@@ -118,10 +118,11 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
 
 
 def refresh_from_csv(spark: SparkSession, landing: str, root: str | None = None, as_of=None,
-                     files: dict[str, str] | None = None, run_checks: bool = True, **kw) -> Warehouse:
+                     files: dict[str, str] | None = None, run_checks: bool = True, multi_line: bool = True,
+                     **kw) -> Warehouse:
     """The source warehouse's own flow: CSV extracts in ``landing`` -> bronze -> silver -> gold,
-    then the data-quality suite."""
-    return refresh(spark, read_all_bronze(spark, landing, files), root=root, as_of=as_of,
+    then the data-quality suite. ``multi_line`` as in :func:`read_bronze`."""
+    return refresh(spark, read_all_bronze(spark, landing, files, multi_line), root=root, as_of=as_of,
                    run_checks=run_checks, **kw)
 
 

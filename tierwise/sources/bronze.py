@@ -59,9 +59,10 @@ def write_extract(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | None = None,
+                    multi_line: bool = True) -> dict[str, DataFrame]:
     files = files or BRONZE_FILES
-    return {t: read_bronze(spark, os.path.join(landing, f), t) for t, f in files.items()}
+    return {t: read_bronze(spark, os.path.join(landing, f), t, multi_line) for t, f in files.items()}
 
 
 def ensure_layers(spark: SparkSession, layers=LAYERS, root: str | None = None) -> None:
