@@ -11,7 +11,7 @@ def test_every_query_has_an_oracle():
     own = set(all_queries())
     assert own <= set(q) and own <= set(o) and set(o) <= set(q)
     q = {k: q[k] for k in own}
-    assert all(re.match(r"(q\d\d|e\d\d|g\d\d|silver|gold|dq|s01)_", name) for name in q)
+    assert all(re.match(r"(q\d\d|e\d\d|g\d\d|s\d\d|silver|gold|dq)_", name) for name in q)
 
 
 def test_outputs_have_unique_lowercase_columns(spark):
