@@ -16,9 +16,11 @@ from .packing import op9_pack_sequences
 from .quality import op1_quality_classifier
 from .secrets import op2_secret_scan
 from .substrings import op10_repeated_passages
+from .token_counts import op11_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_classifier, op2_secret_scan, op3_source_mix, op4_near_duplicates, op5_language_id, op6_nn_descent,
-    op7_warc_archive, op8_exact_topk, op9_pack_sequences, op10_repeated_passages)}
+    op7_warc_archive, op8_exact_topk, op9_pack_sequences, op10_repeated_passages,
+    op11_token_counts)}
 
 SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op7_warc_archive": OP7_SQL, "op8_exact_topk": OP8_SQL}
