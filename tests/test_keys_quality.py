@@ -1,9 +1,15 @@
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierwise.operators import quality as K
-from tierwise.operators.keys import with_row_number_key, with_surrogate_key
+from tierwise.operators.keys import sorted_ranges, with_surrogate_key
+
+
+def row_numbers(df, order, name):
+    """The same numbering by one global window."""
+    return df.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name), *df.columns)
 
 
 def test_scalable_key_matches_global_row_number(spark):
@@ -12,18 +18,45 @@ def test_scalable_key_matches_global_row_number(spark):
             for i in range(1000)]
     df = spark.createDataFrame(data, "a int, b int, id int")
     order = [F.col("a").asc_nulls_last(), F.col("b").desc_nulls_first(), F.col("id").asc_nulls_last()]
-    fast = {r.id: r.k for r in with_surrogate_key(df, order, "k", [F.coalesce("a", F.lit(99))]).collect()}
-    slow = {r.id: r.k for r in with_row_number_key(df, order, "k").collect()}
+    fast = {r.id: r.k for r in with_surrogate_key(df, order, "k").collect()}
+    slow = {r.id: r.k for r in row_numbers(df, order, "k").collect()}
     assert fast == slow
     assert sorted(fast.values()) == list(range(1, 1001))
 
 
-def test_scalable_key_skewed_single_value(spark):
-    df = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 1000)], "a int, id int")
-    # One value holds nearly all rows: a second bucket, monotone within the first, splits it.
-    out = with_surrogate_key(df, [F.col("a"), F.col("id")], "k", [F.col("a"), F.floor(F.col("id") / 50)])
-    assert sorted(r.k for r in out.collect()) == list(range(1, 302))
-    assert out.where("a = 2").first().k == 301
+def _ranges_used(spark, df, order):
+    """Rows of the fullest range and number of ranges, without coalescing of small partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in sorted_ranges(df, order, "p", "at").groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    return max(sizes), len(sizes)
+
+
+def test_every_shape_of_key_numbers_in_many_tasks(spark):
+    n = 20_000
+    sparse = spark.range(n).select((F.xxhash64("id") * 1).alias("customer_id"), "id")
+    bulk = spark.range(n).select(F.lit("2011-07-01").cast("date").alias("start_date"),
+                                 F.format_string("AB-%08d", F.col("id")).alias("product_number"), "id")
+    alike = spark.range(n).select(F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("a"))
+    for df, order in ((sparse, [F.col("customer_id").asc_nulls_last()]),
+                      (bulk, [F.col("start_date").asc_nulls_last(), F.col("product_number").asc_nulls_last()]),
+                      (alike, [F.col("a")])):
+        largest, ranges = _ranges_used(spark, df, order)
+        assert ranges == 8 and largest < n / 4
+        got = with_surrogate_key(df, order, "k")
+        assert got.agg(F.count_distinct("k"), F.min("k"), F.max("k")).first() == (n, 1, n)
+        cols = [c for c in df.columns if c != "id"]
+        want = row_numbers(df, order, "k")
+        assert got.select("k", *cols).exceptAll(want.select("k", *cols)).count() == 0
+
+
+def test_keys_of_empty_and_clashing_tables(spark):
+    df = spark.createDataFrame([(3, "x"), (None, "y"), (1, "z")], "_tie int, _part string")
+    got = with_surrogate_key(df, [F.col("_tie").asc_nulls_last()], "k")
+    assert sorted((r.k, r._tie) for r in got.collect() if r._tie) == [(1, 1), (2, 3)] and got.columns == ["k", "_tie", "_part"]
+    assert with_surrogate_key(df.where("false"), [F.col("_tie")], "k").count() == 0
 
 
 def _not_in_brute(child, parent):

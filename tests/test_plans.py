@@ -97,13 +97,19 @@ def test_fact_lookup_spreads_null_keys_in_one_pass(wh):
 
 
 def test_surrogate_key_never_sorts_rows_in_one_task(spark):
-    df = spark.range(0, 5000).select((F.col("id") % 97).alias("a"), F.col("id"))
-    out = with_surrogate_key(df, [F.col("a"), F.col("id")], "k", [F.col("a")])
-    p = plan(out)
-    # The only single-partition window reads one row per bucket: it stands above an aggregate.
-    below = p[p.index("SinglePartition"):]
-    assert p.count("SinglePartition") == 1 and below.index("HashAggregate") < below.index("Range")
-    assert out.agg(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (5000, 1, 5000)
+    shapes = {"sparse": F.xxhash64("id"), "bulk": F.lit(1), "dense": F.col("id")}
+    plans = set()
+    for a in shapes.values():
+        df = spark.range(0, 5000).select(a.cast("long").alias("a"), F.col("id"))
+        out = with_surrogate_key(df, [F.col("a"), F.col("id")], "k")
+        p = plan(out)
+        # The only single-partition window reads one row per range: it stands above an aggregate, and rows aren't shuffled.
+        below = p[p.index("SinglePartition"):]
+        assert p.count("SinglePartition") == 1 and below.index("HashAggregate") < below.index("FileScan")
+        assert p.count("Exchange hashpartitioning") == 1 and p.count("Window [") == 1
+        assert out.agg(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (5000, 1, 5000)
+        plans.add(re.sub(r"#\d+L?|plan_id=\d+|Location: [^,]*|\[file:[^\]]*\]", "", p))
+    assert len(plans) == 1                         # one plan for every shape
 
 
 def test_dq_suite_single_job_shape(wh):

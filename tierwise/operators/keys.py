@@ -1,9 +1,9 @@
 """Dense surrogate keys 1..n in key order without a single-partition sort (G1).
 
-``ROW_NUMBER() OVER (ORDER BY k)`` sends every row to one task. Here the caller names *buckets*: expressions that never
-are NULL and never decrease along the order, such as the month of a leading date. Rows are numbered within their
-bucket (one exchange), and a bucket's offset is the number of rows in all earlier buckets, a running sum over one row per
-bucket. The same plan serves every size.
+``ROW_NUMBER() OVER (ORDER BY k)`` sends every row to one task. Here the rows are dealt over ranges of the whole key order,
+with bounds from Spark's sample of the keys, sorted within their range and written once with their place in it. A row's number
+is its place plus the rows of all earlier ranges: a running sum over one row per range. What the keys look like (sparse
+ids, one date on every row, a common prefix) doesn't matter, and the same plan serves every size.
 """
 
 from __future__ import annotations
@@ -13,30 +13,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 
-def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str, buckets: Sequence[Column]) -> DataFrame:
-    """Add a dense ``bigint`` key 1..n following ``order`` (NULL placement as given).
+# Spark's row ids hold the partition above this bit and the place in the partition below it.
+_PLACE_BITS = 33
 
-    The first bucket is summed over on its own, the others within it, so the one window without a partition sees one row per
-    value of the first bucket only. ``order`` should be total for a reproducible numbering.
+
+def sorted_ranges(df: DataFrame, order: Sequence[Column], part: str, place: str) -> DataFrame:
+    """``df`` with the number of each row's range of ``order`` and its place in the range, both from 0.
+
+    Ranges ascend along ``order`` (NULL placement as given); together, (range, place) is the order. Rows alike in all of ``order``
+    may lie in different ranges, so that a key on a third of the rows is dealt over several tasks; among
+    themselves their order is arbitrary. The result is written to the shared folder and read back: one exchange, and no later
+    reader can see another numbering.
     """
-    cols = [f"_b{i}" for i in range(len(buckets))]
-    keyed = df.withColumns(dict(zip(cols, buckets)))
-    ranked = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(*cols).orderBy(*order)))
-
-    counts = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    major = counts.groupBy(cols[0]).agg(F.sum("_n").alias("_n")) \
-        .select(cols[0], F.coalesce(F.sum("_n").over(Window.orderBy(cols[0]).rowsBetween(Window.unboundedPreceding, -1)),
-                                    F.lit(0)).alias("_off"))
-    offsets = counts.join(major, cols[0])
-    if len(cols) > 1:
-        minor = F.coalesce(F.sum("_n").over(Window.partitionBy(cols[0]).orderBy(*cols[1:])
-                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        offsets = offsets.withColumn("_off", F.col("_off") + minor)
-    return ranked.join(offsets.drop("_n"), cols).select(
-        (F.col("_off") + F.col("_rn")).cast("bigint").alias(name), *[F.col(c) for c in df.columns])
-
-
-def with_row_number_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """The same numbering by one global window, for comparison in tests."""
-    return df.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name), *df.columns)
+    spark = df.sparkSession
+    tie, row = "_tie", "_row"
+    while {tie, row} & set(df.columns):
+        tie, row = "_" + tie, "_" + row
+    keys = [*order, F.col(tie)]
+    placed = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys) \
+        .withColumn(row, F.monotonically_increasing_id()).drop(tie)
+    path = scratch_path(spark, "ranges")
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path)
+    return rows.select(*df.columns, F.shiftright(row, _PLACE_BITS).cast("int").alias(part),
+                       F.col(row).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(place))
+
+
+def with_surrogate_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Add a dense ``bigint`` key 1..n following ``order``, which should be total for a reproducible numbering."""
+    part, place, first = "_part", "_place", "_first"
+    while {part, place, first} & set(df.columns):
+        part, place, first = "_" + part, "_" + place, "_" + first
+    rows = sorted_ranges(df, order, part, place)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = rows.groupBy(part).agg(F.count(F.lit(1)).alias(first)) \
+        .select(part, F.coalesce(F.sum(first).over(before), F.lit(0)).alias(first))
+    # One row per range, and no more ranges than shuffle partitions: bounded by a setting, not by the data.
+    return rows.join(F.broadcast(firsts), part).select(
+        (F.col(first) + F.col(place) + 1).cast("bigint").alias(name), *[F.col(c) for c in df.columns])

@@ -26,15 +26,11 @@ def current_rows(df: DataFrame, end_col: str) -> DataFrame:
     return df.where(F.col(end_col).isNull())
 
 
-def _key(df: DataFrame, leading: list[str], name: str, buckets: list[Column]) -> DataFrame:
+def _key(df: DataFrame, leading: list[str], name: str) -> DataFrame:
     """Number rows by ``leading`` (the source's key order), then by every other column so that
     duplicated business keys (which the quality suite reports) still get deterministic keys."""
     order = [F.col(c).asc_nulls_last() for c in leading + [c for c in df.columns if c not in leading]]
-    return with_surrogate_key(df, order, name, buckets)
-
-
-# Customer ids per numbering bucket.
-IDS_PER_BUCKET = 1 << 16
+    return with_surrogate_key(df, order, name)
 
 
 def dim_customers(silver: dict[str, DataFrame]) -> DataFrame:
@@ -55,9 +51,7 @@ def dim_customers(silver: dict[str, DataFrame]) -> DataFrame:
         F.col("la.cntry").alias("country"),
         F.col("ci.cst_create_date").alias("create_date"),
     )
-    bucket = F.coalesce(F.floor(F.col("customer_id") / IDS_PER_BUCKET).cast("long"), F.lit((1 << 63) - 1))
-    return _key(body, ["customer_id", "customer_number"], "customer_key", [bucket]) \
-        .select(*GOLD_COLUMNS["dim_customers"])
+    return _key(body, ["customer_id", "customer_number"], "customer_key").select(*GOLD_COLUMNS["dim_customers"])
 
 
 def dim_products(silver: dict[str, DataFrame]) -> DataFrame:
@@ -76,10 +70,7 @@ def dim_products(silver: dict[str, DataFrame]) -> DataFrame:
         F.col("pn.prd_line").alias("product_line"),
         F.col("pn.prd_start_dt").alias("start_date"),
     )
-    # Products that start on one day are split by how their number begins.
-    buckets = [F.coalesce("start_date", F.lit("9999-12-31").cast("date")), F.col("product_number").isNull(),
-               F.coalesce(F.substring("product_number", 1, 2), F.lit(""))]
-    return _key(body, ["start_date", "product_number", "product_id"], "product_key", buckets) \
+    return _key(body, ["start_date", "product_number", "product_id"], "product_key") \
         .select(*GOLD_COLUMNS["dim_products"])
 
 
