@@ -198,3 +198,22 @@ def test_no_registered_query_runs_python_in_its_plan(spark, wh):
     for name, fn in all_queries().items():
         p = plan(fn(spark, SF))
         assert not re.search(r"EvalPython|PythonUDF|FlatMapGroupsInPandas|MapInPandas|ArrowEvalPython", p), name
+
+
+def test_reports_scan_the_fact_once_without_expand(wh):
+    for report in (R.customer_report, R.product_report):
+        p = plan(report(wh.gold, "2002-01-01"))
+        assert "Expand" not in p
+        assert sum(1 for l in p.split("\n") if "FileScan" in l and "sales_amount" in l) == 1
+
+
+def test_two_distinct_counts_match_count_distinct(spark):
+    from tierwise.operators.analytics import two_distinct_counts
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(1)).when(F.col("id") % 7 > 0, F.col("id") % 11).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("o"), F.col("id") % 200)).alias("a"),
+        F.when(F.col("id") % 13 > 0, F.col("id") % 17).alias("b"), F.col("id").alias("v"))
+    got = two_distinct_counts(df, "k", "a", "b", {"s": (F.sum, F.col("v")), "lo": (F.min, F.col("v"))})
+    want = df.groupBy("k").agg(F.count_distinct("a").alias("n_first"), F.count_distinct("b").alias("n_second"),
+                               F.sum("v").alias("s"), F.min("v").alias("lo"))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))

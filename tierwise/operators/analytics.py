@@ -148,3 +148,21 @@ def lifespan_months(first: Column, last: Column) -> Column:
     """Months between first and last order."""
     return whole_months(last, first)
 
+
+def two_distinct_counts(df: DataFrame, key: str, first: str, second: str, measures: dict) -> DataFrame:
+    """Per ``key``: ``n_first`` and ``n_second``, the exact distinct counts of two columns, and ``measures`` (name ->
+    (aggregate that also merges its own results, such as sum, min or max, and column)), from one scan.
+
+    Rows are grouped by (key, first, second) and one row of each (key, first) is marked; then by (key, second), then by key, with
+    marks and measures carried along. So each stage shuffles no more rows than it got, and the keys of all but the last, map-side
+    combined one are pairs, however many rows a single key has. NULLs aren't counted; a NULL key is a group.
+    """
+    def merged(frame: DataFrame, *more) -> DataFrame:
+        return frame.agg(*more, *[fn(F.col(name)).alias(name) for name, (fn, _) in measures.items()])
+
+    rows = df.select(key, first, second, *[c.alias(name) for name, (_, c) in measures.items()])
+    triples = merged(rows.repartition(key, first).groupBy(key, first, second))
+    rank = F.row_number().over(Window.partitionBy(key, first).orderBy(second))
+    mark = ((rank == 1) & F.col(first).isNotNull()).cast("bigint")
+    pairs = merged(triples.withColumn("n_first", mark).groupBy(key, second), F.sum("n_first").alias("n_first"))
+    return merged(pairs.groupBy(key), F.sum("n_first").alias("n_first"), F.count(second).alias("n_second"))

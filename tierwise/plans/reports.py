@@ -1,7 +1,7 @@
 """Customer and product report views (Q20, Q21).
 
 Both aggregate the fact on its surrogate key first (one row per customer /
-product, two exact distinct counts each), then attach the dimension
+product, two exact distinct counts each, all from one scan), then attach the dimension
 attributes with a key-to-key join and compute the KPIs row by row.
 ``as_of`` replaces the source's ``NOW()`` so results are reproducible.
 """
@@ -37,14 +37,10 @@ def _average_per_month(total, lifespan):
 def customer_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool = False) -> DataFrame:
     now = as_of_col(as_of)
     f = gold["fact_sales"].where(F.col("order_date").isNotNull())
-    per_key = f.groupBy("customer_key").agg(
-        F.count_distinct("order_number").alias("total_orders"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("quantity").alias("total_quantity"),
-        F.count_distinct("product_key").alias("total_products"),
-        F.max("order_date").alias("last_order_date"),
-        F.min("order_date").alias("_first"),
-    )
+    per_key = A.two_distinct_counts(f, "customer_key", "order_number", "product_key", {
+        "total_sales": (F.sum, F.col("sales_amount").cast("bigint")), "total_quantity": (F.sum, F.col("quantity").cast("bigint")),
+        "last_order_date": (F.max, F.col("order_date")), "_first": (F.min, F.col("order_date"))}) \
+        .withColumnsRenamed({"n_first": "total_orders", "n_second": "total_products"})
     c = gold["dim_customers"].select(
         "customer_key", "customer_number",
         full_name("first_name", "last_name").alias("customer_name"),
@@ -65,35 +61,18 @@ def customer_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool
     return out.select(*REPORT_CUSTOMERS)
 
 
-def _avg_selling_price(f: DataFrame) -> DataFrame:
-    """``ROUND(AVG(sales / NULLIF(quantity, 0)), 2)`` per product, exact.
-
-    sum_i(s_i / q_i) == sum_q(sum_{i: q_i = q} s_i) / q, so sales are first
-    summed per (product, quantity) in 64-bit integers and the decimal divisions
-    only run on those aggregated rows, not once per sale.
-    """
-    valid = f.where(F.col("sales_amount").isNotNull() & F.col("quantity").isNotNull() & (F.col("quantity") != 0))
-    per_qty = valid.groupBy("product_key", "quantity").agg(
-        F.sum(F.col("sales_amount").cast("bigint")).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    per_key = per_qty.groupBy("product_key").agg(
-        F.sum(exact_ratio("_s", "quantity")).alias("_num"), F.sum("_n").alias("_cnt"))
-    return per_key.select(F.col("product_key").alias("_asp_key"),
-                          round2(F.col("_num") / F.col("_cnt").cast(EXACT)).alias("avg_selling_price"))
-
-
 def product_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool = False) -> DataFrame:
     now = as_of_col(as_of)
     f = gold["fact_sales"].where(F.col("order_date").isNotNull())
-    per_key = f.groupBy("product_key").agg(
-        F.max("order_date").alias("last_sale_date"),
-        F.min("order_date").alias("_first"),
-        F.count_distinct("order_number").alias("total_orders"),
-        F.count_distinct("customer_key").alias("total_customers"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("quantity").alias("total_quantity"),
-    )
-    asp = _avg_selling_price(f)
-    per_key = per_key.join(asp, per_key["product_key"].eqNullSafe(asp["_asp_key"]), "left").drop("_asp_key")
+    # AVG(sales / NULLIF(quantity, 0)): exact ratios to 18 digits, summed and divided by their number.
+    price = F.when(F.col("quantity") != 0, exact_ratio("sales_amount", "quantity"))
+    per_key = A.two_distinct_counts(f, "product_key", "order_number", "customer_key", {
+        "last_sale_date": (F.max, F.col("order_date")), "_first": (F.min, F.col("order_date")),
+        "total_sales": (F.sum, F.col("sales_amount").cast("bigint")), "total_quantity": (F.sum, F.col("quantity").cast("bigint")),
+        "_prices": (F.sum, price), "_priced": (F.sum, price.isNotNull().cast("bigint"))}) \
+        .withColumnsRenamed({"n_first": "total_orders", "n_second": "total_customers"})
+    per_key = per_key.withColumn("avg_selling_price", round2(F.when(F.col("_priced") > 0,
+                                                                    F.col("_prices") / F.col("_priced").cast(EXACT))))
     p = gold["dim_products"].select("product_key", "product_name", "category", "subcategory", "cost")
     # The source groups on the dimension's key: unmatched fact keys form one NULL group.
     j = per_key.join(p.withColumnRenamed("product_key", "_pk"), F.col("product_key") == F.col("_pk"), "left") \
