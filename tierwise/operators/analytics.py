@@ -117,9 +117,10 @@ def vs_average(df: DataFrame, partition: Sequence[str], value: str, avg: str = "
 
 
 def profit_margin(df: DataFrame, keys: Sequence[str], revenue: str = "sales_amount",
-                  qty: str = "quantity", price: str = "price", cost: str = "cost") -> DataFrame:
-    """Revenue, quantity, max price/cost, profit and margin text per group."""
-    profit = F.sum(F.col(qty) * (F.col(price) - F.col(cost)))
+                  qty: str = "quantity", price: str = "price", cost: str = "cost", profit: str | None = None) -> DataFrame:
+    """Revenue, quantity, max price/cost, profit and margin text per group (R9); of rows that are
+    already aggregated, ``profit`` names the column that holds theirs."""
+    profit = F.sum(F.col(profit) if profit else F.col(qty) * (F.col(price) - F.col(cost)))
     agg = df.groupBy(*keys).agg(
         F.sum(revenue).alias("total_revenue"),
         F.sum(qty).alias("total_quantity"),

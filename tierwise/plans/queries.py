@@ -158,10 +158,7 @@ def q15_profit_margins(g: Gold) -> DataFrame:
         F.sum(qty * price).alias("qp"), F.sum(F.when(price.isNotNull(), qty)).alias("qd"))
     j = per_key.join(_product_attrs(g, "category", "subcategory", "product_name", "cost"), "product_key", "left")
     j = j.withColumn("profit_part", F.col("qp") - F.col("cost").cast("bigint") * F.col("qd"))
-    agg = j.groupBy("category", "subcategory", "product_name").agg(
-        F.sum("s").alias("total_revenue"), F.sum("q").alias("total_quantity"), F.max("mp").alias("price"),
-        F.max("cost").alias("cost"), F.sum("profit_part").alias("profit"))
-    agg = agg.withColumn("profit_margin", A.pct_text("profit", "total_revenue"))
+    agg = A.profit_margin(j, ["category", "subcategory", "product_name"], "s", "q", "mp", "cost", "profit_part")
     return agg.orderBy(*[F.col(c).asc_nulls_last() for c in ("category", "subcategory", "product_name")])
 
 

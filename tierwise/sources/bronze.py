@@ -8,19 +8,17 @@ idempotent and a lost executor only re-runs its tasks.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .records import csv_records
 from .schemas import AUDIT_COL, BRONZE, BRONZE_FILES
 
 LAYERS = ("bronze", "silver", "gold")
 
-# Marker for a quoted empty field while parsing; never survives the read.
-_QUOTED_EMPTY = "\u0001"
-
-
-def read_bronze(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, table: str) -> DataFrame:
     """CSV extract -> typed bronze DataFrame.
 
     Header skipped, columns taken by position against the declared schema,
@@ -28,24 +26,16 @@ def read_bronze(spark: SparkSession, path: str, table: str, multi_line: bool = T
     ``COPY ... FORMAT csv``, an unquoted empty field is NULL while a quoted
     empty field (``""``) is an empty string, a doubled quote inside quotes is one
     quote, a backslash is an ordinary character, and a quoted field may hold line
-    breaks. ``multi_line=False`` reads one record per line, which lets a large file
-    be split over tasks; use it for extracts known to hold no such field.
+    breaks. Files are split over tasks all the same (:mod:`.records`).
     """
     schema = BRONZE[table]
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("enforceSchema", True)
-          .option("mode", "FAILFAST")
-          .option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False)
-          .option("quote", '"').option("escape", '"')
-          .option("multiLine", multi_line)
-          .option("emptyValue", _QUOTED_EMPTY)
-          .option("dateFormat", "yyyy-MM-dd")
-          .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
-          .csv(path))
-    text = [f.name for f in schema.fields if f.dataType.simpleString() == "string"]
-    return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)) for c in text})
+    # What the parser puts in for an unquoted empty field: random, so that no field's text can be it.
+    missing = uuid.uuid4().hex
+    row = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), {
+        "mode": "FAILFAST", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+        "quote": '"', "escape": '"', "multiLine": "true", "nullValue": missing, "emptyValue": "",
+        "dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd[ HH:mm:ss]"})
+    return csv_records(spark, path).select(row.alias("row")).select("row.*")
 
 
 def write_extract(df: DataFrame, path: str) -> None:
@@ -59,10 +49,9 @@ def write_extract(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | None = None,
-                    multi_line: bool = True) -> dict[str, DataFrame]:
+def read_all_bronze(spark: SparkSession, landing: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     files = files or BRONZE_FILES
-    return {t: read_bronze(spark, os.path.join(landing, f), t, multi_line) for t, f in files.items()}
+    return {t: read_bronze(spark, os.path.join(landing, f), t) for t, f in files.items()}
 
 
 def ensure_layers(spark: SparkSession, layers=LAYERS, root: str | None = None) -> None:
