@@ -21,13 +21,15 @@ def main(argv=None) -> int:
     r.add_argument("--landing", required=True)
     r.add_argument("--out", default=None, help="output root (default: under spark.checkpoint.dir)")
     r.add_argument("--as-of", default=None, help="reporting date replacing NOW() (default: today)")
+    r.add_argument("--too-wide", choices=["keep", "fail", "reject"], default="keep",
+                   help="text beyond its declared width: kept and reported, fails the load, or goes to rejects/")
     r.add_argument("--master", default="local[*]")
     args = ap.parse_args(argv)
     if args.master.startswith("local"):
         spark = build_session(args.master)          # local defaults (tests, laptops)
     else:                                           # a cluster: its spark-defaults rule
         spark = SparkSession.builder.master(args.master).appName("tierwise").getOrCreate()
-    wh = refresh_from_csv(spark, args.landing, args.out, args.as_of)
+    wh = refresh_from_csv(spark, args.landing, args.out, args.as_of, too_wide=args.too_wide)
     print(json.dumps({"root": wh.root, "published": wh.publish(args.as_of)}))
     for row in wh.quality.collect():
         print(json.dumps(row.asDict()))

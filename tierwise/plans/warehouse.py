@@ -15,11 +15,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources import testdata
-from ..sources.bronze import ensure_layers, publish_table, read_all_bronze, read_layer, with_audit, write_layer
-from ..sources.schemas import AUDIT_COL
+from ..sources import testdata, versions
+from ..sources.bronze import (
+    conform, ensure_layers, publish_table, read_all_bronze, read_layer, with_audit, within_widths, write_layer,
+)
+from ..sources.schemas import AUDIT_COL, BRONZE_WIDTHS, GOLD, SILVER
 from ..session import application_id, scratch_path
 from . import gold as G
+from .report_views import create_report_views
 from .silver import build_silver_table
 
 # Reporting date used by the registered queries instead of NOW() (reproducible).
@@ -29,8 +32,9 @@ DEFAULT_AS_OF = "2002-01-01"
 class Warehouse:
     """Materialised silver and gold tables of one refresh."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, home: str | None = None):
+        # ``root`` holds this refresh; ``home`` all versions of the warehouse, where it has several.
+        self.spark, self.root, self.home = spark, root, home or root
         self.as_of = None
         self.quality: DataFrame | None = None
         self.bronze: dict[str, DataFrame] = {}
@@ -53,28 +57,28 @@ class Warehouse:
             return path
 
     def publish(self, as_of=None) -> list[str]:
-        """Register every layer in the session catalog: ``bronze.*``, ``silver.*``, ``gold.dim_customers`` ... and the
-        two report views ``gold.report_customers`` / ``gold.report_products`` (``as_of`` stands for NOW()) (S4, S7)."""
-        import datetime as _dt
-
-        from . import reports as R
+        """Register every layer in the session catalog: ``bronze.*``, ``silver.*``, ``gold.dim_customers`` ... and the two
+        report views ``gold.report_customers`` / ``gold.report_products`` over them (S4, S7). Publishing a later refresh moves
+        every view to its tables; ``as_of`` stands for NOW() until another date is set."""
         layers = [("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)]
         if self.quality is not None:
             layers.append(("quality", {"dq_suite": self.quality}))
-        ensure_layers(self.spark, layers=[name for name, _ in layers], root=self.root)
+        ensure_layers(self.spark, layers=[name for name, _ in layers], root=self.home)
         names = [publish_table(self.spark, self.root, layer, t) for layer, frames in layers for t in frames]
-        when = str(as_of or self.as_of or _dt.date.today())
-        for name, report in (("report_customers", R.customer_report), ("report_products", R.product_report)):
-            write_layer(report(self.gold, when), self.root, "gold", name)
-            names.append(publish_table(self.spark, self.root, "gold", name))
-        return names
+        return names + create_report_views(self.spark, as_of or self.as_of)
 
 
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, as_of=None,
             fix_gender_case: bool = False, parallel: int = 8,
-            run_checks: bool = False) -> Warehouse:
+            run_checks: bool = False, too_wide: str = "keep", keep: int = 2) -> Warehouse:
     """Truncate-and-load every layer: bronze, silver (with audit column), then gold.
 
+    Under a given ``root`` the refresh is written as a version of its own and made current when all of it is there
+    (:mod:`tierwise.sources.versions`); readers of the previous version, and a refresh that dies, are left whole. Silver
+    and gold tables are stored under their declared types. Text beyond its declared width is kept for the checks to
+    report, fails the load (``too_wide="fail"``, as COPY does), or goes with its row to ``rejects/<table>``
+    (``too_wide="reject"``).
+
     Each table's bronze -> silver chain only depends on its own extract, and
     each dimension only on its own silver inputs, so they are submitted as
     concurrent jobs as soon as their inputs are written (no barrier between
@@ -83,8 +87,12 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     suite's ``(check, table, violations)`` is written to ``quality/dq_suite``
     and kept as ``wh.quality``.
     """
-    root = root or scratch_path(spark, "refresh")
-    wh = Warehouse(spark, root)
+    version, home = None, root
+    if root:
+        version, root = versions.new_version(root)
+    else:
+        root = scratch_path(spark, "refresh")
+    wh = Warehouse(spark, root, home)
     wh.as_of = as_of
 
     def layer(name: str, table: str, df: DataFrame) -> DataFrame:
@@ -92,9 +100,12 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
         return read_layer(spark, root, name, table, df.schema)
 
     def chain(table: str) -> tuple[DataFrame, DataFrame]:
-        b = layer("bronze", table, bronze[table])
+        loaded, rejected = within_widths(bronze[table], BRONZE_WIDTHS[table], too_wide)
+        if rejected is not None:
+            write_layer(rejected, root, "rejects", table)
+        b = layer("bronze", table, loaded)
         one = build_silver_table(table, b, as_of, fix_gender_case)
-        return b, layer("silver", table, with_audit(one))
+        return b, layer("silver", table, conform(with_audit(one), SILVER[table]))
 
     def silver_of(futures, *tables):
         return {t: futures[t].result()[1].drop(AUDIT_COL) for t in tables}
@@ -102,18 +113,22 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     workers = max(parallel, len(bronze) + 3) if parallel > 1 else 1
     with ThreadPoolExecutor(max_workers=workers) as pool:
         chains = {t: pool.submit(chain, t) for t in bronze}
-        dim_c = pool.submit(lambda: layer("gold", "dim_customers", G.dim_customers(
-            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101"))))
-        dim_p = pool.submit(lambda: layer("gold", "dim_products", G.dim_products(
-            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2"))))
+        dim_c = pool.submit(lambda: layer("gold", "dim_customers", conform(G.dim_customers(
+            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101")), GOLD["dim_customers"])))
+        dim_p = pool.submit(lambda: layer("gold", "dim_products", conform(G.dim_products(
+            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2")), GOLD["dim_products"])))
         dims = {"dim_customers": dim_c.result(), "dim_products": dim_p.result()}
-        fact = layer("gold", "fact_sales", G.fact_sales(silver_of(chains, "crm_sales_details"), dims))
+        fact = layer("gold", "fact_sales", conform(G.fact_sales(silver_of(chains, "crm_sales_details"), dims),
+                                                   GOLD["fact_sales"]))
         wh.bronze = {t: f.result()[0] for t, f in chains.items()}
         wh.silver = {t: f.result()[1] for t, f in chains.items()}
     wh.gold = {**dims, "fact_sales": fact}
     if run_checks:
         from .checks import suite
         wh.quality = layer("quality", "dq_suite", suite(wh))
+    if version:
+        versions.commit(spark, home, version)
+        versions.retire(spark, home, keep)
     return wh
 
 
@@ -126,9 +141,10 @@ def refresh_from_csv(spark: SparkSession, landing: str, root: str | None = None,
 
 
 def open_refresh(spark: SparkSession, root: str, as_of=None) -> Warehouse:
-    """Re-open the materialised layers of an earlier refresh (e.g. from a new session)."""
+    """Re-open the current version under ``root``, or the refresh that was written there itself (e.g. from a new session)."""
     from ..sources.schemas import SILVER_COLUMNS
-    wh = Warehouse(spark, root)
+    home, root = root, versions.current(spark, root) or root
+    wh = Warehouse(spark, root, home)
     wh.as_of = as_of
     wh.bronze = {t: read_layer(spark, root, "bronze", t) for t in SILVER_COLUMNS}
     wh.silver = {t: read_layer(spark, root, "silver", t) for t in SILVER_COLUMNS}

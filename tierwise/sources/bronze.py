@@ -10,11 +10,12 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .records import csv_records
-from .schemas import AUDIT_COL, BRONZE, BRONZE_FILES
+from .schemas import AUDIT_COL, BRONZE, BRONZE_FILES, stored
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -68,6 +69,32 @@ def publish_table(spark: SparkSession, root: str, layer: str, table: str) -> str
     return f"{layer}.{table}"
 
 
+def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """``df`` in the columns and types of a declared schema, by store assignment: widening casts only, anything else fails
+    when the plan is made, an overflow when it runs (S5). The columns must be those declared, in any order."""
+    if sorted(df.columns) != sorted(contract.names):
+        raise ValueError(f"columns {sorted(set(df.columns) ^ set(contract.names))} don't match the declared schema")
+    return df.to(stored(contract))
+
+
+def too_wide(widths: dict[str, int]) -> Column:
+    """Whether some text of a row is wider than declared; a NULL isn't."""
+    return F.greatest(F.lit(False), F.lit(False), *[F.coalesce(F.length(c) > w, F.lit(False)) for c, w in widths.items()])
+
+
+def within_widths(df: DataFrame, widths: dict[str, int], mode: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows to load, rows rejected or None) under ``mode`` keep, fail or reject."""
+    if mode not in ("keep", "fail", "reject"):
+        raise ValueError(f"mode must be keep, fail or reject, not {mode}")
+    if mode == "keep" or not widths:
+        return df, None
+    if mode == "reject":
+        which = [F.when(F.length(c) > w, F.lit(c)) for c, w in widths.items()]
+        return df.where(~too_wide(widths)), df.where(too_wide(widths)).withColumn("too_wide", F.concat_ws(",", *which))
+    return df.withColumns({c: F.when(F.length(c) > w, F.raise_error(F.lit(f"value too long for {c} varchar({w})")))
+                           .otherwise(F.col(c)) for c, w in widths.items()}), None
+
+
 def with_audit(df: DataFrame) -> DataFrame:
     """Append the load timestamp column."""
     return df.withColumn(AUDIT_COL, F.localtimestamp())

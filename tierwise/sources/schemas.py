@@ -1,9 +1,9 @@
-"""Declared schemas of the bronze and silver layers.
+"""Declared schemas of the three layers.
 
 Bronze mirrors the two source systems' extracts (CRM, ERP) column for column;
 CSV files are read positionally against these schemas, never inferred.
-Width limits of the source DDL (50 characters per text column) are checked by
-the data-quality suite (K15), since Spark strings carry no width.
+Width limits of the source DDL (50 characters per text column) are enforced on load
+where asked for, and checked by the data-quality suite (K15) in any case.
 """
 
 from __future__ import annotations
@@ -44,26 +44,41 @@ BRONZE_FILES: dict[str, str] = {
 
 AUDIT_COL = "dwh_create_date"
 
-# Silver = bronze + audit column, except the two tables whose types the load changes.
-SILVER_COLUMNS: dict[str, list[str]] = {
-    "crm_cust_info": ["cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr",
-                      "cst_create_date"],
-    "crm_prd_info": ["prd_id", "cat_id", "prd_key", "prd_nm", "prd_cost", "prd_line", "prd_start_dt",
-                     "prd_end_dt"],
-    "crm_sales_details": ["sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt",
-                          "sls_due_dt", "sls_sales", "sls_quantity", "sls_price"],
-    "erp_loc_a101": ["cid", "cntry"],
-    "erp_cust_az12": ["cid", "bdate", "gen"],
-    "erp_px_cat_g1v2": ["id", "cat", "subcat", "maintenance"],
-}
+TEXT_WIDTH = 50
+V, L = T.VarcharType(TEXT_WIDTH), T.LongType()
+
+# Contracts of silver and gold: enforced by store assignment when a table is written. Ids are BIGINT, wider than the source's
+# INTEGER, so that sparse 64-bit ids load; the types that the load changes (dates, the product key's split) are the loaded ones.
+SILVER: dict[str, T.StructType] = {t: _struct(*cols, (AUDIT_COL, TS)) for t, cols in {
+    "crm_cust_info": [("cst_id", L), ("cst_key", V), ("cst_firstname", V), ("cst_lastname", V), ("cst_marital_status", V),
+                      ("cst_gndr", V), ("cst_create_date", D)],
+    "crm_prd_info": [("prd_id", L), ("cat_id", V), ("prd_key", V), ("prd_nm", V), ("prd_cost", I), ("prd_line", V),
+                     ("prd_start_dt", D), ("prd_end_dt", D)],
+    "crm_sales_details": [("sls_ord_num", V), ("sls_prd_key", V), ("sls_cust_id", L), ("sls_order_dt", D), ("sls_ship_dt", D),
+                          ("sls_due_dt", D), ("sls_sales", I), ("sls_quantity", I), ("sls_price", I)],
+    "erp_loc_a101": [("cid", V), ("cntry", V)],
+    "erp_cust_az12": [("cid", V), ("bdate", D), ("gen", V)],
+    "erp_px_cat_g1v2": [("id", V), ("cat", V), ("subcat", V), ("maintenance", V)],
+}.items()}
 
-GOLD_COLUMNS: dict[str, list[str]] = {
-    "dim_customers": ["customer_key", "customer_id", "customer_number", "first_name", "last_name", "gender",
-                      "birthdate", "marital_status", "country", "create_date"],
-    "dim_products": ["product_key", "product_id", "product_number", "product_name", "category_id", "category",
-                     "subcategory", "maintenance", "cost", "product_line", "start_date"],
-    "fact_sales": ["order_number", "product_key", "customer_key", "order_date", "shipping_date", "due_date",
-                   "sales_amount", "quantity", "price"],
+GOLD: dict[str, T.StructType] = {
+    "dim_customers": _struct(("customer_key", L), ("customer_id", L), ("customer_number", V), ("first_name", V),
+                             ("last_name", V), ("gender", V), ("birthdate", D), ("marital_status", V), ("country", V),
+                             ("create_date", D)),
+    "dim_products": _struct(("product_key", L), ("product_id", L), ("product_number", V), ("product_name", V),
+                            ("category_id", V), ("category", V), ("subcategory", V), ("maintenance", V), ("cost", I),
+                            ("product_line", V), ("start_date", D)),
+    "fact_sales": _struct(("order_number", V), ("product_key", L), ("customer_key", L), ("order_date", D),
+                          ("shipping_date", D), ("due_date", D), ("sales_amount", I), ("quantity", I), ("price", I)),
 }
 
-TEXT_WIDTH = 50
+SILVER_COLUMNS: dict[str, list[str]] = {t: [c for c in s.names if c != AUDIT_COL] for t, s in SILVER.items()}
+GOLD_COLUMNS: dict[str, list[str]] = {t: s.names for t, s in GOLD.items()}
+# Width of every text column of a table's extract.
+BRONZE_WIDTHS: dict[str, dict[str, int]] = {t: {f.name: TEXT_WIDTH for f in s.fields if f.dataType == S} for t, s in BRONZE.items()}
+
+
+def stored(schema: T.StructType) -> T.StructType:
+    """The types under which files hold a declared schema: VARCHAR is text, its width is checked on load."""
+    return T.StructType([T.StructField(f.name, S if isinstance(f.dataType, T.VarcharType) else f.dataType, f.nullable)
+                         for f in schema.fields])
