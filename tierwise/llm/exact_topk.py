@@ -12,8 +12,10 @@ into buckets of a bounded number of bytes; a bucket keeps its greatest length. Q
 
 Edge cases: vectors that are NULL, empty or hold a NULL or non-finite component take no part; zero vectors score 0; only
 vectors of equal dimension are compared; rows alike in id and vector count once, and rows that share an id are one vector
-with several readings (best score counts; a row never meets its own id); NULL ids take no part; components are expected below
-2**20 in size; fewer candidates than k give fewer rows; an empty table gives an empty result.
+with several readings (best score counts; a row never meets its own id); NULL ids take no part; components are kept as 32-bit integers
+where a whole vector fits in them, else as 64-bit ones, and products that may pass 63 bits are summed as Python's integers; a component or
+score beyond 64 bits has no place in the result and fails the job; fewer candidates than k give fewer rows; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,22 +43,37 @@ def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = b.column("vec_id").to_numpy(zero_copy_only=False)
         for rows, x in by_dimension(b.column("embedding")):
-            q = np.floor(SCALE * x).astype(np.int32)
+            q = np.floor(SCALE * x)
+            if np.abs(q).max() >= 2.0 ** 63:
+                raise OverflowError("a scaled component doesn't fit in 64 bits")
+            q = q.astype(np.int64)
             length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
             group = np.where(length > 0, np.floor(CLASSES_PER_DOUBLING * np.log2(np.maximum(length, 1))), -1)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[rows].astype(np.int64)), pa.array(np.full(len(rows), x.shape[1], np.int32)),
-                pa.array(group.astype(np.int32)), pa.array([v.tobytes() for v in q], pa.binary())],
+                pa.array(group.astype(np.int32)), pa.array([_bytes(v) for v in q], pa.binary())],
                 names=["id", "dim", "class", "v"])
 
 
+def _bytes(v: np.ndarray) -> bytes:
+    """Integers in 32 bits each where all fit, else in 64."""
+    small = v.astype(np.int32)
+    return (small if (small == v).all() else v).tobytes()
+
+
+def _matrix(raw, n: int, dim: int) -> np.ndarray:
+    """``n`` vectors written by :func:`_bytes`, all of one width."""
+    return np.frombuffer(raw, dtype=np.int32 if len(memoryview(raw)) == 4 * n * dim else np.int64).reshape(n, dim)
+
+
 def _block(table: pa.Table) -> pa.Table:
     """All rows of one (dim, class, part) in one row, rows alike only once."""
     key = [table.column(n)[0].as_py() for n in ("dim", "class", "part")]
     rows = sorted(set(zip(*(table.column(n).to_pylist() for n in ("id", "v", "theta")))), key=lambda r: r[:2])
     ids, theta = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.float64)
-    v = b"".join(r[1] for r in rows)
-    length = np.sqrt((np.frombuffer(v, dtype=np.int32).reshape(len(ids), -1).astype(np.float64) ** 2).sum(axis=1))
+    q = np.concatenate([_matrix(r[1], 1, key[0]) for r in rows])          # of the wider type if widths differ
+    v = q.tobytes()
+    length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
     # The least bucket length with which some query of the block can reach its bound.
     with np.errstate(divide="ignore", invalid="ignore"):
         need = np.where(theta > 0, theta / length, -np.inf)
@@ -78,8 +95,11 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _exact(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Integer products: in doubles where every partial sum is below 2**53, else in 64-bit integers."""
-    bound = float(np.abs(q).max(initial=0)) * float(np.abs(p).max(initial=0)) * q.shape[1]
+    """Integer products: in doubles where every partial sum is below 2**53, in 64-bit integers where it is below 2**63, else
+    in Python's integers."""
+    bound = np.abs(q.astype(np.float64)).max(initial=0) * np.abs(p.astype(np.float64)).max(initial=0) * q.shape[1]
+    if bound >= 2.0 ** 62:
+        return (q.astype(object) @ p.T.astype(object)).astype(np.int64)
     if bound < 2.0 ** 53:
         return (q.astype(np.float64) @ p.T.astype(np.float64)).astype(np.int64)
     return q.astype(np.int64) @ p.T.astype(np.int64)
@@ -115,15 +135,15 @@ def _score(k: int):
             out = ([], [], [])
             for j in range(b.num_rows):
                 dim = b.column("dim")[j].as_py()
-                p = np.frombuffer(b.column("m")[j].as_buffer(), dtype=np.int32).reshape(-1, dim)
-                q = np.frombuffer(b.column("qm")[j].as_buffer(), dtype=np.int32).reshape(-1, dim)
                 pid, qid = (np.frombuffer(b.column(x)[j].as_buffer(), dtype=np.int64) for x in ("ids", "qids"))
+                p, q = (_matrix(b.column(x)[j].as_buffer(), len(of), dim) for x, of in (("m", pid), ("qm", qid)))
                 theta = np.frombuffer(b.column("theta")[j].as_buffer(), dtype=np.float64)
                 plen = np.sqrt((p.astype(np.float64) ** 2).sum(axis=1))
                 for i in range(len(qid)):
                     at = survivors(q[i], p, plen, theta[i])
+                    at = at[pid[at] != qid[i]]
                     s = _exact(q[i: i + 1], p[at])[0]
-                    ok = (pid[at] != qid[i]) & (s >= theta[i])
+                    ok = s >= theta[i]
                     at, s = pid[at][ok], s[ok]
                     if len(s) > 4 * k:
                         least = np.partition(s, len(s) - k)[len(s) - k]
