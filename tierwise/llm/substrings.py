@@ -18,7 +18,7 @@ No occurrences are paired with each other: of any group only the smallest positi
 holds it, and each document subtracts what it got from what it has.
 
 Edge cases: NULL or short text has no window and loses nothing; rows with a NULL doc_id come after all others; rows that
-share a doc_id count as one document, at equal starts ordered by a checksum of their text; repeated rows are alike and get
+share a doc_id count as one document, at equal starts ordered by a 64-bit hash and the length of their text, which tell them apart; repeated rows are alike and get
 equal results; an empty table gives an empty result. Hashes have 64 bits, and windows are compared on anchor and window hash
 together.
 """
@@ -94,11 +94,11 @@ def _occurrences(length: int):
         for whole in batches:
             for b in text_slices(whole, "text"):
                 r = _Runs(b.column("text"), length)
-                o, tag = (b.column(x).to_numpy(zero_copy_only=False) for x in ("o", "tag"))
+                o, tag, size = (b.column(x).to_numpy(zero_copy_only=False) for x in ("o", "tag", "size"))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(signed(r.anchor)), pa.array(signed(r.stretch()) if len(r.lo) else np.zeros(0, np.int64)),
                     pa.array(o[r.doc]), pa.array(((r.lo - r.w.first[r.doc]) * RUN + r.n).astype(np.int64)),
-                    pa.array(tag[r.doc])], names=["anchor", "stretch", "o", "pos", "tag"])
+                    pa.array(tag[r.doc]), pa.array(size[r.doc])], names=["anchor", "stretch", "o", "pos", "tag", "size"])
     return run
 
 
@@ -124,10 +124,10 @@ def _windows(length: int):
                 n = pos % RUN
                 start, doc, anchor = _spread(pos), np.repeat(doc, n), np.repeat(anchor, n)
                 at = start + w.first[doc]
-                o, tag = (b.column(x).to_numpy(zero_copy_only=False) for x in ("o", "tag"))
+                o, tag, size = (b.column(x).to_numpy(zero_copy_only=False) for x in ("o", "tag", "size"))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(anchor), pa.array(signed(h(at, at + length))), pa.array(o[doc]), pa.array(start),
-                    pa.array(tag[doc])], names=["anchor", "hash", "o", "start", "tag"])
+                    pa.array(tag[doc]), pa.array(size[doc])], names=["anchor", "hash", "o", "start", "tag", "size"])
     return run
 
 
@@ -175,15 +175,16 @@ def strip_repeats(documents: DataFrame, length: int = WINDOW_WORDS, texts: bool
     bounded_batches(spark)
     kind = dict(documents.dtypes)["doc_id"]
     docs = documents.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("o"),
-                            F.crc32(F.coalesce("text", F.lit(""))).cast("long").alias("tag"), "text")
+                            F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"),
+                            "text")
     counts = docs.select("text").mapInArrow(_anchors(length), "anchor long, m long")
     twice = materialise(counts.groupBy("anchor").agg(F.sum("m").alias("m")).where(F.col("m") > 1).select("anchor"),
                         "seeds")
-    runs = docs.select("o", "tag", "text").mapInArrow(_occurrences(length),
-                                                      "anchor long, stretch long, o long, pos long, tag long")
+    runs = docs.select("o", "tag", "size", "text").mapInArrow(_occurrences(length),
+                                                      "anchor long, stretch long, o long, pos long, tag long, size int")
     found = materialise(runs.join(twice, "anchor", "left_semi"), "seed_runs")
-    first = materialise(found.groupBy("anchor", "stretch").agg(F.min(F.struct("o", "pos", "tag")).alias("x")).select(
-        "anchor", "x.o", "x.pos", "x.tag"), "first_runs")
+    first = materialise(found.groupBy("anchor", "stretch").agg(F.min(F.struct("o", "pos", "tag", "size")).alias("x")).select(
+        "anchor", "x.o", "x.pos", "x.tag", "x.size"), "first_runs")
     several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1).select(
         "anchor", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     opened = first.withColumn("_salt", F.pmod(F.xxhash64("o", "pos"), F.lit(SALTS)).cast("int")) \
@@ -191,21 +192,21 @@ def strip_repeats(documents: DataFrame, length: int = WINDOW_WORDS, texts: bool
     opened = materialise(opened, "open_runs")
 
     # Both joins keep every text and the same columns of it, so that they share one shuffle of the texts.
-    texts_by_doc = docs.select("doc_id", "o", "tag", "text")
-    open_lists = opened.groupBy("o", "tag").agg(F.collect_list(F.struct("pos", "anchor")).alias("open"))
-    windows = texts_by_doc.join(open_lists, ["o", "tag"], "left").select("doc_id", "o", "tag", "text", "open") \
-        .mapInArrow(_windows(length), "anchor long, hash long, o long, start long, tag long")
-    alive = windows.groupBy("anchor", "hash").agg(F.min(F.struct("o", "start", "tag")).alias("x"))
+    texts_by_doc = docs.select("doc_id", "o", "tag", "size", "text")
+    open_lists = opened.groupBy("o", "tag", "size").agg(F.collect_list(F.struct("pos", "anchor")).alias("open"))
+    windows = texts_by_doc.join(open_lists, ["o", "tag", "size"], "left").select("doc_id", "o", "tag", "size", "text", "open") \
+        .mapInArrow(_windows(length), "anchor long, hash long, o long, start long, tag long, size int")
+    alive = windows.groupBy("anchor", "hash").agg(F.min(F.struct("o", "start", "tag", "size")).alias("x"))
     none = F.lit(None).cast("long")
-    marks = (found.select("o", "tag", F.col("pos").alias("f"), none.alias("g"), none.alias("h"), none.alias("s"))
-             .unionByName(first.select("o", "tag", none.alias("f"), F.col("pos").alias("g"), none.alias("h"), none.alias("s")))
-             .unionByName(opened.select("o", "tag", none.alias("f"), none.alias("g"), F.col("pos").alias("h"),
+    marks = (found.select("o", "tag", "size", F.col("pos").alias("f"), none.alias("g"), none.alias("h"), none.alias("s"))
+             .unionByName(first.select("o", "tag", "size", none.alias("f"), F.col("pos").alias("g"), none.alias("h"), none.alias("s")))
+             .unionByName(opened.select("o", "tag", "size", none.alias("f"), none.alias("g"), F.col("pos").alias("h"),
                                         none.alias("s")))
-             .unionByName(alive.select("x.o", "x.tag", none.alias("f"), none.alias("g"), none.alias("h"),
+             .unionByName(alive.select("x.o", "x.tag", "x.size", none.alias("f"), none.alias("g"), none.alias("h"),
                                        F.col("x.start").alias("s"))))
-    marks = marks.groupBy("o", "tag").agg(F.collect_list("f").alias("found"), F.collect_list("g").alias("firsts"),
+    marks = marks.groupBy("o", "tag", "size").agg(F.collect_list("f").alias("found"), F.collect_list("g").alias("firsts"),
                                           F.collect_list("h").alias("open"), F.collect_list("s").alias("alive"))
-    joined = texts_by_doc.join(marks, ["o", "tag"], "left").select("doc_id", "o", "tag", "text", "found", "firsts", "open", "alive")
+    joined = texts_by_doc.join(marks, ["o", "tag", "size"], "left").select("doc_id", "o", "tag", "text", "found", "firsts", "open", "alive")
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if texts else "")
     return joined.mapInArrow(_strip(length, texts), schema)
 
