@@ -64,11 +64,10 @@ def fresh_names(df: DataFrame, *names: str) -> list[str]:
 MAP_BITS = 1 << 23
 
 
-def split_by_keys(rows: DataFrame, key: Column, keys: DataFrame, name: str = "k") -> tuple[DataFrame, DataFrame]:
-    """(maybe, surely_not): the rows whose 64-bit ``key`` may be, and those whose ``key`` isn't, in column ``name`` of ``keys``.
+def mark_by_keys(rows: DataFrame, key: Column, keys: DataFrame, mark: str, name: str = "k") -> DataFrame:
+    """``rows`` with ``mark``: false where the 64-bit ``key`` surely isn't in column ``name`` of ``keys``.
 
-    One bit per key in a map of fixed size, joined as a broadcast. Rows ruled out there needn't be shuffled for an exact
-    join; the more keys, the fewer rows it rules out, and no answer depends on it.
+    One bit per key in a map of fixed size, joined as a broadcast; the more keys, the more rows are marked that have none.
     """
     slot, word, bits = fresh_names(rows, "_slot", "_word", "_bits")
 
@@ -79,7 +78,17 @@ def split_by_keys(rows: DataFrame, key: Column, keys: DataFrame, name: str = "k"
         F.bit_or(F.expr(f"shiftleft(1L, cast({slot} & 63 as int))")).alias(bits))
     marked = rows.withColumn(slot, at(key)).withColumn(word, F.shiftright(slot, 6)).join(F.broadcast(chart), word, "left")
     hit = F.coalesce(F.expr(f"(shiftright({bits}, cast({slot} & 63 as int)) & 1) = 1"), F.lit(False))
-    return marked.where(hit).select(*rows.columns), marked.where(~hit).select(*rows.columns)
+    return marked.select(*rows.columns, hit.alias(mark))
+
+
+def split_by_keys(rows: DataFrame, key: Column, keys: DataFrame, name: str = "k") -> tuple[DataFrame, DataFrame]:
+    """(maybe, surely_not): the rows whose 64-bit ``key`` may be, and those whose ``key`` isn't, in column ``name`` of ``keys``.
+
+    Rows ruled out there needn't be shuffled for an exact join; no answer depends on the map.
+    """
+    mark, = fresh_names(rows, "_mark")
+    marked = mark_by_keys(rows, key, keys, mark, name)
+    return marked.where(F.col(mark)).drop(mark), marked.where(~F.col(mark)).drop(mark)
 
 
 # ------------------------------------------------------------------ word hashing

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, read_table, text_slices
+from .common import bounded_batches, mark_by_keys, read_table, text_slices
 
 SEQUENCE_TOKENS = 1024
 END_ID = 0
@@ -39,7 +39,8 @@ class Encoder(dict):
 
     The pre-tokeniser never joins a space to what precedes it, so a text whose spaces each stand between two
     non-space characters can be cut before every space and its fragments encoded apart.
-    ``ranks`` holds the same vocabulary as ``vocabulary``; the tests compare both encoders.
+    ``ranks`` holds the same vocabulary as ``vocabulary`` but for its added tokens: a text with the string of one goes to
+    ``vocabulary``'s own tokeniser, which gives that token's id. The tests compare both encoders.
     """
 
     def __init__(self, vocabulary: str, ranks: str):
@@ -50,6 +51,7 @@ class Encoder(dict):
         self.reference = Tokenizer.from_file(vocabulary)
         if self.reference.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary don't fit in 16 bits")
+        self.added = [t.content for t in self.reference.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._bpe = tiktoken.Encoding("fragments", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
@@ -64,6 +66,8 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
+        if any(a in text for a in self.added):
+            return np.array(self.reference.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
         parts = text.split(" ")
         # White space next to a space, or at an end: such texts are encoded whole.
         if "" in parts or " ".join(map(str.strip, parts)) != text:
@@ -176,8 +180,12 @@ def pack(documents: DataFrame, capacity: int = SEQUENCE_TOKENS, docs_per_shard:
     bounded_batches(spark)
     shards = max(1, -(-documents.count() // docs_per_shard))
     kind = dict(documents.dtypes)["doc_id"]
-    rows = documents.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), "doc_id",
-                            "text")
+    # Rows alike in both columns have one hash; where they outnumber a shard, they are dealt over all shards.
+    alike = documents.select(F.xxhash64("doc_id", "text").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("m")) \
+        .where(F.col("m") > docs_per_shard)
+    rows = mark_by_keys(documents.select("doc_id", "text"), F.xxhash64("doc_id", "text"), alike, "many")
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text", F.when(F.col("many"), F.monotonically_increasing_id())),
+                              F.lit(shards)).cast("int").alias("shard"), "doc_id", "text")
     pieces = rows.mapInArrow(_cut(capacity, vocabulary, ranks),
                              f"shard int, doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                              "ids binary")
