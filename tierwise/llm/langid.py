@@ -14,8 +14,7 @@ declaration is believed more than declarations agree with texts elsewhere.
 Edge cases: NULL html, or pages without visible text, are judged by the other evidence; a NULL or unusable url has the empty host and
 suffix; documents without a language or text aren't trained on; without any training document ``lang`` and ``posterior`` are NULL;
 ties go to the first language in code-point order; repeated rows get equal results; an empty table gives an empty result.
-At most ``MAX_LANGUAGES`` languages (the most frequent labels) are modelled, which with ``BUCKETS`` bounds the model's size
-(64 x 32,768 floats, 8 MB) and lets every task hold it.
+Every language label is modelled; the model has ``BUCKETS`` floats (128 KB) a label, and every task holds it.
 """
 
 from __future__ import annotations
@@ -34,7 +33,6 @@ from .common import bounded_batches, materialise, mix64, read_table, text_slices
 from .trigrams import Accumulator, counted
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 64
 ALPHA = 0.1                 # added to every bucket's count
 MAX_TRIGRAMS = 100          # weight of a long text, in trigrams
 STRENGTH = 5.0              # pages' worth of the wider group in the smoothing of hosts, declarations and suffixes
@@ -91,15 +89,14 @@ class Model:
         self.prior = np.log((documents + 1.0) / (documents.sum() + len(langs)))
 
 
-def train(documents: DataFrame, max_languages: int = MAX_LANGUAGES) -> Model | None:
+def train(documents: DataFrame) -> Model | None:
     """Model from all documents with a language; what reaches the driver is bounded by languages and buckets."""
     bounded_batches(documents.sparkSession)
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    top = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_languages)
-    sizes = {r["lang"]: r["n"] for r in top.collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    counts = rows.where(F.col("lang").isin(list(sizes))).mapInArrow(_train, "lang string, gram long, m long") \
+    counts = rows.mapInArrow(_train, "lang string, gram long, m long") \
         .groupBy("lang", "gram").agg(F.sum("m").alias("m"))
     langs = sorted(sizes)
     table = np.zeros((len(langs), BUCKETS))
