@@ -181,9 +181,9 @@ def test_strip_repeats(spark):
 
 def test_packing(spark):
     from tierwise.llm.packing import encoder, pack, pack_lengths
-    docs = documents(spark, extra=[(300, "a\n b  c <|endoftext|> it's 'll é", "en", "a")])
+    docs = documents(spark, extra=[(300, "a\n b  c <|endoftext|> it's 'll é", "en", "a"), (301, "end <|endoftext|> of", "en", "a")])
     enc = encoder()
-    enc.reference.encode_special_tokens = True
+    assert enc.ids("end <|endoftext|> of").tolist() == [437, 220, 50256, 286]
     ids = {r.doc_id: enc.reference.encode(r.text or "", add_special_tokens=False).ids + [0] for r in docs.collect()}
     got = collected(pack(docs, capacity=64, docs_per_shard=16))
     pieces, sequences = collections.defaultdict(set), collections.defaultdict(list)
@@ -231,3 +231,27 @@ def test_long_run_of_names_ends():
     assert novel_spans("key=" * 20_000, compressor(b"")) == []
     inner = "bearer=" + "private=" * 8 + "k3JvQ9xLw2Rt8BnYp4KsZc7Md1Fh"
     assert novel_spans(inner, compressor(b""))[-1][2] == len(inner)
+
+
+def test_rows_alike_are_packed_in_many_shards(spark):
+    from pyspark.sql import functions as F
+    from tierwise.llm.packing import pack
+    docs = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+                                   F.when(F.col("id") % 3 > 0, F.concat(F.lit("w "), F.col("id"))).alias("text"))
+    got = pack(docs, capacity=64, docs_per_shard=16).collect()
+    shards = -(-900 // 16)
+    per_shard = collections.Counter(r.sequence_id % shards for r in got if r.doc_id is None)
+    assert sum(per_shard.values()) == 300 and max(per_shard.values()) < 30 and len(per_shard) > 40
+    assert sum(r.length for r in got if r.doc_id is None) == 300
+
+
+def test_texts_without_id_and_equal_checksums(spark):
+    """Two texts without id whose CRC-32 agree, one far longer than the other."""
+    from tierwise.llm.substrings import strip_repeats
+    passage = " ".join(f"w{i}" for i in range(60))
+    long = {zlib.crc32(t.encode()): t for t in (f"{passage} {i}" for i in range(300_000))}
+    short = next(t for t in (f"short {i} a b" for i in range(300_000)) if zlib.crc32(t.encode()) in long)
+    text = long[zlib.crc32(short.encode())]
+    docs = spark.createDataFrame([(1, f"x {passage}"), (None, text), (None, short)], "doc_id long, text string")
+    got = {(r.doc_id, r.n_words): (r.n_removed, r.kept_text) for r in strip_repeats(docs, texts=True).collect()}
+    assert got == {(1, 61): (0, f"x {passage}"), (None, 61): (60, text.split()[-1]), (None, 4): (0, short)}

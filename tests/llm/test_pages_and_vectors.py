@@ -201,3 +201,35 @@ def test_language_id(spark):
     assert got[501].lang is not None and 0 < got[501].posterior <= 1 and got[502].text_lang == "en"
     assert train(docs.where("false")) is None and identify(df, None).where("lang is not null").count() == 0
     assert identify(df.where("false"), train(docs)).count() == 0
+
+
+def test_rows_that_share_an_id_lose_no_row(spark):
+    from tierwise.llm.nn_descent import nearest
+    a, b, c, q = [1.0, 0.0], [0.0, 1.0], [0.6, 0.8], [1.0, 1.0]
+    df = spark.createDataFrame([(5, a), (5, b), (7, b), (8, a), (9, c), (20, q), (20, [2.0, 0.0])], "vec_id long, embedding array<float>")
+    got = [(r.rank, r.vec_id, round(r.score, 6)) for r in sorted(nearest(df, 20, F.col("id") == 20).collect(), key=lambda r: r.rank)]
+    assert got == [(1, 5, 2.0), (2, 8, 2.0), (3, 9, 1.4), (4, 7, 1.0)]
+
+
+def test_large_components_score_exactly(spark):
+    from tierwise.llm.exact_topk import top_k
+    big = 2.0 ** 40
+    df = spark.createDataFrame([(100, [1.0, 1.0]), (1, [3e6, 0.0]), (2, [1.0, 0.0]), (200, [big, 3.0]), (3, [1024.5, -2.0])],
+                               "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in top_k(df, 10, F.col("id") % 100 == 0).collect()}
+    vec = {r.vec_id: [math.floor(1024 * x) for x in r.embedding] for r in df.collect()}
+    assert got[100, 1] == 3_145_728_000_000
+    assert got == {(q, i): sum(x * y for x, y in zip(vec[q], vec[i])) for q in (100, 200) for i in vec if i != q}
+    with pytest.raises(Exception):                      # no long holds this score
+        top_k(spark.createDataFrame([(100, [2.0 ** 30]), (1, [2.0 ** 30])], "vec_id long, embedding array<double>"), 1,
+              F.col("id") == 100).collect()
+
+
+def test_every_language_label_is_modelled(spark):
+    from tierwise.llm.langid import identify, train
+    rows = [(i, " ".join(chr(97 + j % 26) + chr(97 + (i * 7 + j) % 26) + chr(97 + i % 26) for j in range(60)), f"l{i:02d}") for i in range(70)]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == [r[2] for r in rows]
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", f"<p>{t}</p>") for i, t, _ in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.lang for r in identify(pages, model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) == 70
