@@ -59,6 +59,23 @@ def test_keys_of_empty_and_clashing_tables(spark):
     assert with_surrogate_key(df.where("false"), [F.col("_tie")], "k").count() == 0
 
 
+def test_product_keys_follow_a_collation(spark):
+    from tierwise.plans.gold import dim_products
+    numbers = ["a-1", "B-1", "b-1", "A-1", "ä-1", "z-1", None]
+    products = spark.createDataFrame([(i, "X", n, "name", 1, "Road") for i, n in enumerate(numbers)],
+                                     "prd_id long, cat_id string, prd_key string, prd_nm string, prd_cost int, prd_line string") \
+        .withColumns({"prd_start_dt": F.lit("2011-07-01").cast("date"), "prd_end_dt": F.lit(None).cast("date")})
+    silver = {"crm_prd_info": products, "erp_px_cat_g1v2": spark.createDataFrame([], "id string, cat string, subcat string, maintenance string")}
+
+    def order(**kw):
+        out = dim_products(silver, **kw)
+        assert dict(out.dtypes)["product_number"] == "string"
+        return [r.product_number for r in sorted(out.collect(), key=lambda r: r.product_key)]
+    assert order() == ["A-1", "B-1", "a-1", "b-1", "z-1", "ä-1", None]
+    assert order(collation="UNICODE") == ["a-1", "A-1", "ä-1", "b-1", "B-1", "z-1", None]
+    assert order(collation="UTF8_LCASE")[:4] == ["A-1", "a-1", "B-1", "b-1"]       # equal under it, then bytewise
+
+
 def _not_in_brute(child, parent):
     if not parent:
         return list(child)

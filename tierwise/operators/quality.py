@@ -97,8 +97,8 @@ def sales_rule(df: DataFrame, sales: str = "sls_sales", qty: str = "sls_quantity
                price: str = "sls_price") -> DataFrame:
     """Distinct ``(sales, quantity, price)`` breaking sales = quantity * price, all > 0, non-NULL."""
     s, q, p = F.col(sales), F.col(qty), F.col(price)
-    bad = (s != q * p) | s.isNull() | q.isNull() | p.isNull() | (s <= 0) | (q <= 0) | (p <= 0)
-    return df.where(bad).select(sales, qty, price).distinct()
+    holds = (s > 0) & (q > 0) & (p > 0) & (s == q * p)
+    return df.where(~F.coalesce(holds, F.lit(False))).select(sales, qty, price).distinct()
 
 
 def future_dates(df: DataFrame, c: str, as_of: Column) -> DataFrame:

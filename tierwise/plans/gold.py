@@ -26,14 +26,19 @@ def current_rows(df: DataFrame, end_col: str) -> DataFrame:
     return df.where(F.col(end_col).isNull())
 
 
-def _key(df: DataFrame, leading: list[str], name: str) -> DataFrame:
+def _key(df: DataFrame, leading: list[str], name: str, collation: str | None = None) -> DataFrame:
     """Number rows by ``leading`` (the source's key order), then by every other column so that
-    duplicated business keys (which the quality suite reports) still get deterministic keys."""
-    order = [F.col(c).asc_nulls_last() for c in leading + [c for c in df.columns if c not in leading]]
-    return with_surrogate_key(df, order, name)
+    duplicated business keys (which the quality suite reports) still get deterministic keys.
+
+    Text ascends bytewise or under a ``collation`` such as UNICODE; texts that it takes for equal then follow bytewise (T10).
+    """
+    columns = leading + [c for c in df.columns if c not in leading]
+    text = [c for c, kind in df.dtypes if kind == "string"] if collation else []
+    order = [F.collate(c, collation) if c in text else F.col(c) for c in columns] + [F.col(c) for c in columns if c in text]
+    return with_surrogate_key(df, [c.asc_nulls_last() for c in order], name)
 
 
-def dim_customers(silver: dict[str, DataFrame]) -> DataFrame:
+def dim_customers(silver: dict[str, DataFrame], collation: str | None = None) -> DataFrame:
     """CRM customers enriched with ERP birth date, gender fallback and country."""
     ci = silver["crm_cust_info"].alias("ci")
     ca = silver["erp_cust_az12"].alias("ca")
@@ -51,10 +56,11 @@ def dim_customers(silver: dict[str, DataFrame]) -> DataFrame:
         F.col("la.cntry").alias("country"),
         F.col("ci.cst_create_date").alias("create_date"),
     )
-    return _key(body, ["customer_id", "customer_number"], "customer_key").select(*GOLD_COLUMNS["dim_customers"])
+    return _key(body, ["customer_id", "customer_number"], "customer_key", collation) \
+        .select(*GOLD_COLUMNS["dim_customers"])
 
 
-def dim_products(silver: dict[str, DataFrame]) -> DataFrame:
+def dim_products(silver: dict[str, DataFrame], collation: str | None = None) -> DataFrame:
     """Current product versions with category attributes; keyed after the filter."""
     pn = current_rows(silver["crm_prd_info"], "prd_end_dt").alias("pn")
     pc = silver["erp_px_cat_g1v2"].alias("pc")
@@ -70,7 +76,7 @@ def dim_products(silver: dict[str, DataFrame]) -> DataFrame:
         F.col("pn.prd_line").alias("product_line"),
         F.col("pn.prd_start_dt").alias("start_date"),
     )
-    return _key(body, ["start_date", "product_number", "product_id"], "product_key") \
+    return _key(body, ["start_date", "product_number", "product_id"], "product_key", collation) \
         .select(*GOLD_COLUMNS["dim_products"])
 
 

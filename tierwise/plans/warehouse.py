@@ -70,14 +70,15 @@ class Warehouse:
 
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, as_of=None,
             fix_gender_case: bool = False, parallel: int = 8,
-            run_checks: bool = False, too_wide: str = "keep", keep: int = 2) -> Warehouse:
+            run_checks: bool = False, too_wide: str = "keep", keep: int = 2,
+            collation: str | None = None) -> Warehouse:
     """Truncate-and-load every layer: bronze, silver (with audit column), then gold.
 
     Under a given ``root`` the refresh is written as a version of its own and made current when all of it is there
     (:mod:`tierwise.sources.versions`); readers of the previous version, and a refresh that dies, are left whole. Silver
     and gold tables are stored under their declared types. Text beyond its declared width is kept for the checks to
     report, fails the load (``too_wide="fail"``, as COPY does), or goes with its row to ``rejects/<table>``
-    (``too_wide="reject"``).
+    (``too_wide="reject"``). Surrogate keys follow the business keys bytewise, or under ``collation``.
 
     Each table's bronze -> silver chain only depends on its own extract, and
     each dimension only on its own silver inputs, so they are submitted as
@@ -114,9 +115,9 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     with ThreadPoolExecutor(max_workers=workers) as pool:
         chains = {t: pool.submit(chain, t) for t in bronze}
         dim_c = pool.submit(lambda: layer("gold", "dim_customers", conform(G.dim_customers(
-            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101")), GOLD["dim_customers"])))
+            silver_of(chains, "crm_cust_info", "erp_cust_az12", "erp_loc_a101"), collation), GOLD["dim_customers"])))
         dim_p = pool.submit(lambda: layer("gold", "dim_products", conform(G.dim_products(
-            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2")), GOLD["dim_products"])))
+            silver_of(chains, "crm_prd_info", "erp_px_cat_g1v2"), collation), GOLD["dim_products"])))
         dims = {"dim_customers": dim_c.result(), "dim_products": dim_p.result()}
         fact = layer("gold", "fact_sales", conform(G.fact_sales(silver_of(chains, "crm_sales_details"), dims),
                                                    GOLD["fact_sales"]))
