@@ -34,7 +34,7 @@ def _key(df: DataFrame, leading: list[str], name: str, collation: str | None = N
     """
     columns = leading + [c for c in df.columns if c not in leading]
     text = [c for c, kind in df.dtypes if kind == "string"] if collation else []
-    order = [F.collate(c, collation) if c in text else F.col(c) for c in columns] + [F.col(c) for c in columns if c in text]
+    order = [k for c in columns for k in ([F.collate(c, collation)] if c in text else []) + [F.col(c)]]
     return with_surrogate_key(df, [c.asc_nulls_last() for c in order], name)
 
 
