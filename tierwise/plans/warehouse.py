@@ -13,7 +13,7 @@ import os
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..sources import testdata, versions
 from ..sources.bronze import (
@@ -37,6 +37,8 @@ class Warehouse:
         self.spark, self.root, self.home = spark, root, home or root
         self.as_of = None
         self.quality: DataFrame | None = None
+        # (layer, table) -> check -> rows that violate it, observed while the table was written.
+        self.metrics: dict[tuple[str, str], dict[str, int]] = {}
         self.bronze: dict[str, DataFrame] = {}
         self.silver: dict[str, DataFrame] = {}
         self.gold: dict[str, DataFrame] = {}
@@ -88,6 +90,7 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     suite's ``(check, table, violations)`` is written to ``quality/dq_suite``
     and kept as ``wh.quality``.
     """
+    from .checks import observed, suite
     version, home = None, root
     if root:
         version, root = versions.new_version(root)
@@ -97,7 +100,13 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
     wh.as_of = as_of
 
     def layer(name: str, table: str, df: DataFrame) -> DataFrame:
+        counts = observed(wh, name, table)
+        seen = Observation(f"{name}.{table}")
+        if counts:
+            df = df.observe(seen, *[expr.alias(check) for check, expr in counts.items()])
         write_layer(df, root, name, table)
+        if counts:
+            wh.metrics[name, table] = seen.get
         return read_layer(spark, root, name, table, df.schema)
 
     def chain(table: str) -> tuple[DataFrame, DataFrame]:
@@ -125,7 +134,6 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None
         wh.silver = {t: f.result()[1] for t, f in chains.items()}
     wh.gold = {**dims, "fact_sales": fact}
     if run_checks:
-        from .checks import suite
         wh.quality = layer("quality", "dq_suite", suite(wh))
     if version:
         versions.commit(spark, home, version)
