@@ -67,7 +67,7 @@ def main() -> None:
          "aggregation per product before the join to the product dimension",
          lambda: Q.q15_profit_margins(wh.gold)),
         ("Q20 customer report",
-         "Expand for the two exact distinct counts with map-side dedup, then a customer-sized join",
+         "one fact scan, grouped in stages for the two exact distinct counts (no Expand), then a customer-sized join",
          lambda: R.customer_report(wh.gold, "2002-01-01")),
         ("K8 NOT IN orphans",
          "a plain LeftAnti join (no nested loop) plus two one-row EXISTS subqueries",
