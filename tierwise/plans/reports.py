@@ -8,7 +8,9 @@ attributes with a key-to-key join and compute the KPIs row by row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import (
@@ -61,18 +63,29 @@ def customer_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool
     return out.select(*REPORT_CUSTOMERS)
 
 
+def _ratio_digits(num: Column, den: Column) -> list[Column]:
+    """``num / den`` cut to 18 digits: whole part, then the next six digits three times; NULL where ``den`` is 0 or NULL."""
+    out = []
+    for _ in range(4):
+        out.append(F.when(den != 0, int_div(num, den)))
+        num = F.when(den != 0, num % den) * 1_000_000
+    return out
+
+
 def product_report(gold: dict[str, DataFrame], as_of=None, exact_average: bool = False) -> DataFrame:
     now = as_of_col(as_of)
     f = gold["fact_sales"].where(F.col("order_date").isNotNull())
-    # AVG(sales / NULLIF(quantity, 0)): exact ratios to 18 digits, summed and divided by their number.
-    price = F.when(F.col("quantity") != 0, exact_ratio("sales_amount", "quantity"))
+    # AVG(sales / NULLIF(quantity, 0)): each ratio as its whole part and three groups of six digits, all of them long.
+    digits = _ratio_digits(F.col("sales_amount").cast("bigint"), F.col("quantity").cast("bigint"))
     per_key = A.two_distinct_counts(f, "product_key", "order_number", "customer_key", {
         "last_sale_date": (F.max, F.col("order_date")), "_first": (F.min, F.col("order_date")),
         "total_sales": (F.sum, F.col("sales_amount").cast("bigint")), "total_quantity": (F.sum, F.col("quantity").cast("bigint")),
-        "_prices": (F.sum, price), "_priced": (F.sum, price.isNotNull().cast("bigint"))}) \
+        **{f"_price{i}": (F.sum, d) for i, d in enumerate(digits)}, "_priced": (F.sum, digits[0].isNotNull().cast("bigint"))}) \
         .withColumnsRenamed({"n_first": "total_orders", "n_second": "total_customers"})
-    per_key = per_key.withColumn("avg_selling_price", round2(F.when(F.col("_priced") > 0,
-                                                                    F.col("_prices") / F.col("_priced").cast(EXACT))))
+    prices = sum((F.col(f"_price{i}").cast(EXACT) * F.lit(Decimal(1).scaleb(-6 * i)) for i in range(1, 4)),
+                 F.col("_price0").cast(EXACT))
+    per_key = per_key.withColumn("avg_selling_price", round2(F.when(
+        F.col("_priced") > 0, prices.cast("decimal(38,18)") / F.col("_priced").cast(EXACT))))
     p = gold["dim_products"].select("product_key", "product_name", "category", "subcategory", "cost")
     # The source groups on the dimension's key: unmatched fact keys form one NULL group.
     j = per_key.join(p.withColumnRenamed("product_key", "_pk"), F.col("product_key") == F.col("_pk"), "left") \
