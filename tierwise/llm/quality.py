@@ -10,8 +10,10 @@ document's trigram counts are cut the same way, packed for a slice of documents,
 language, and turned into partial log-likelihoods; summing a document's shards gives its perplexity. Neither the model nor the
 documents are ever whole in one place.
 
-*Decision.* A document is kept if its perplexity lies between two quantiles of its language's trusted documents, widened by
-``SLACK``. Short documents are pulled to the language's mean by ``PRIOR_CHARS`` pseudo-characters.
+*Decision.* A document's log-likelihood of n trigrams strays from its language's mean by more, the longer it is, and its
+perplexity by less. What it strays by is therefore divided by the root of n + ``SPREAD`` n^2 + ``PRIOR_CHARS`` (chance within a
+document, and differences between documents), and a document is kept if the quotient lies between two quantiles of its
+language's trusted documents. ``low`` and ``high`` are these bounds put as log-perplexities of a document of its length.
 
 Edge cases: NULL or empty text has no perplexity and is rejected; a language without trusted documents (or NULL) has
 no model, and its documents are kept undecided; rows that share a doc_id are scored row by row, and a label holds for all rows of
@@ -34,9 +36,9 @@ from .trigrams import BITS, MASK, Accumulator, counted
 
 SHARDS = 8
 SLICE_BYTES = 1 << 20
-LOW, HIGH = 0.0005, 0.998       # quantiles of the trusted documents' log-perplexity
-SLACK = 0.05                    # of log-perplexity, beyond either quantile
-PRIOR_CHARS = 60
+LOW, HIGH = 0.0005, 0.995       # quantiles of the trusted documents' standardised log-perplexity
+SPREAD = 1e-4                   # variance between documents, as a share of the variance of one character
+PRIOR_CHARS = 60                # so that a few characters alone never stray far
 VOCABULARY = 0x110000           # characters the uniform distribution spreads over
 NO_LANG = "\x00"
 
@@ -302,17 +304,21 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     good = scores.join(trusted, F.col("o") == F.col("_trusted"), "left_semi").where((F.col("n") > 0) & ~F.isnan("loglik"))
     mean = good.groupBy("lang").agg((-F.sum("loglik") / F.sum("n")).alias("mean"))
 
-    def shrunk(rows: DataFrame) -> DataFrame:
-        value = (-F.col("loglik") + PRIOR_CHARS * F.col("mean")) / (F.col("n") + PRIOR_CHARS)
-        return rows.join(mean, "lang", "left").withColumn("log_perplexity", F.when(~F.isnan("loglik"), value))
-
-    bounds = shrunk(good).groupBy("lang").agg(
-        F.percentile_approx("log_perplexity", [LOW, HIGH], 10000).alias("q")).select(
-        "lang", (F.col("q")[0] - SLACK).alias("low"), (F.col("q")[1] + SLACK).alias("high"))
-    out = shrunk(scores).join(materialise(bounds, "quality_bounds"), "lang", "left")
-    value = F.when(F.col("n") > 0, F.col("log_perplexity"))
-    return out.select("o", "tag", F.nullif("lang", F.lit(NO_LANG)).alias("lang"), "n", value.alias("log_perplexity"), "low",
-                      "high", ((F.col("n") > 0) & F.coalesce(value.between(F.col("low"), F.col("high")), F.lit(True))).alias("keep"))
+    def strayed(rows: DataFrame) -> DataFrame:
+        n = F.col("n").cast("double")
+        scale = F.sqrt(n + SPREAD * n * n + PRIOR_CHARS)
+        known = (n > 0) & ~F.isnan("loglik")
+        rows = rows.join(mean, "lang", "left").withColumn("_unit", F.when(n > 0, scale / n))
+        return rows.withColumn("log_perplexity", F.when(known, -F.col("loglik") / n)) \
+            .withColumn("stray", (F.col("log_perplexity") - F.col("mean")) / F.col("_unit"))
+
+    bounds = strayed(good).groupBy("lang").agg(F.percentile_approx("stray", [LOW, HIGH], 10000).alias("q")).select(
+        "lang", F.col("q")[0].alias("_low"), F.col("q")[1].alias("_high"))
+    out = strayed(scores).join(materialise(bounds, "quality_bounds"), "lang", "left")
+    within = F.coalesce(F.col("stray").between(F.col("_low"), F.col("_high")), F.lit(True))
+    return out.select("o", "tag", F.nullif("lang", F.lit(NO_LANG)).alias("lang"), "n", "log_perplexity",
+                      *[(F.col("mean") + F.col(f"_{x}") * F.col("_unit")).alias(x) for x in ("low", "high")],
+                      ((F.col("n") > 0) & within).alias("keep"))
 
 
 def op1_quality_classifier(spark, sf_dir: str) -> DataFrame:
