@@ -42,6 +42,7 @@ def test_archive_round_trip(spark, tmp_path):
         own = bytes(r.payload) if r.record_type == "response" else b""
         assert body == own + b"\r\n\r\n" and int(fields["Content-Length"]) == len(own)
     assert spark.read.parquet(str(tmp_path / "a" / "payloads")).count() == len({h or "" for _, _, h in rows})
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == ["payloads", "records"]    # no second copy of payloads
     export_warc(records.coalesce(1), str(tmp_path / "w"))
     files = [p.read_bytes() for p in (tmp_path / "w").glob("part-*")]
     assert sorted(b"".join(files)) == sorted(b"".join(bytes(r.record) for r in got))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import bounded_batches, read_table, text_slices
+from .common import bounded_batches, materialise, read_table, text_slices
 
 MIN_SHARED_BYTES = 100
 VERSION = "WARC/1.1"
@@ -32,17 +32,29 @@ CAPTURE_DATE = "2020-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page_id, url, html) -> (page_id, url, digest, bytes, body): body is the deflated payload."""
+def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[str]]]:
+    """Slices of rows with their payloads and digests."""
     for whole in batches:
         for b in text_slices(whole, "html"):
             raw = [(x or "").encode("utf-8") for x in b.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                b.column("page_id"), b.column("url"),
-                pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()),
-                pa.array([len(x) for x in raw], pa.int64()),
-                pa.array([zlib.compress(x, 6) for x in raw], pa.binary())],
-                names=["page_id", "url", "digest", "bytes", "body"])
+            yield b, raw, [hashlib.sha256(x).hexdigest() for x in raw]
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(page_id, url, html) -> (page_id, url, digest, bytes)."""
+    for b, raw, digests in _payloads(batches):
+        yield pa.RecordBatch.from_arrays([
+            b.column("page_id"), b.column("url"), pa.array(digests, pa.string()), pa.array([len(x) for x in raw], pa.int64())],
+            names=["page_id", "url", "digest", "bytes"])
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(html) -> (digest, body): body is the deflated payload, once for each digest of a slice."""
+    for _, raw, digests in _payloads(batches):
+        own = dict(zip(digests, raw))
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()),
+                                          pa.array([zlib.compress(x, 6) for x in own.values()], pa.binary())],
+                                         names=["digest", "body"])
 
 
 def record_header(page_id, url, digest: str, size: int, refers_to) -> bytes:
@@ -76,16 +88,17 @@ def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_archive(pages: DataFrame, path: str) -> None:
-    """Archive (page_id, url, html) rows under ``path``: ``path/payloads`` and ``path/records``."""
+    """Archive (page_id, url, html) rows under ``path``: ``path/payloads`` and ``path/records``.
+
+    ``pages`` is read twice: for the digests, from which the headers follow, and for the payloads, which are stored nowhere else.
+    """
     spark = pages.sparkSession
     bounded_batches(spark)
     kind = dict(pages.dtypes)["page_id"]
-    rows = pages.select("page_id", "url", "html").mapInArrow(
-        _digests, f"page_id {kind}, url string, digest string, bytes long, body binary")
-    rows.write.option("compression", "none").parquet(f"{path}/incoming")
-    rows = spark.read.schema(rows.schema).parquet(f"{path}/incoming")
+    rows = materialise(pages.select("page_id", "url", "html").mapInArrow(
+        _digests, f"page_id {kind}, url string, digest string, bytes long"), "warc_digests")
     first = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    keyed = rows.select("page_id", "url", "digest", "bytes").join(first, "digest")
+    keyed = rows.join(first, "digest")
     shared = (F.col("bytes") >= MIN_SHARED_BYTES) & ~F.coalesce(F.col("page_id") == F.col("first_id"),
                                                                 F.col("first_id").isNull())
     keyed = keyed.withColumn("refers_to", F.when(shared, F.col("first_id")))
@@ -93,7 +106,8 @@ def write_archive(pages: DataFrame, path: str) -> None:
         _headers, f"page_id {kind}, digest string, header binary").write.option("compression", "zstd") \
         .parquet(f"{path}/records")
     # Rows of one digest hold the same bytes, so any of them will do: one shuffle, after combining in the map tasks.
-    rows.groupBy("digest").agg(F.first("body").alias("body")).write.option("compression", "none") \
+    bodies = pages.select("html").mapInArrow(_bodies, "digest string, body binary")
+    bodies.groupBy("digest").agg(F.first("body").alias("body")).write.option("compression", "none") \
         .parquet(f"{path}/payloads")
 
 
@@ -154,7 +168,8 @@ WITH p AS (
          sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first_id FROM p GROUP BY payload_digest)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM p JOIN f USING (payload_digest)
 """
