@@ -50,6 +50,15 @@ def test_mix(spark):
     assert mix(empty(spark)).count() == 0
     kept = keep_mixed(docs)
     assert kept.columns == docs.columns and kept.count() > 0
+    copies = collections.Counter()
+    for r in got:                               # rows alike in id, source and size are taken alike
+        copies[str(r["doc_id"]), str(r["source"]), r["size"]] += (2 * r["taken"] + r["size"]) // (2 * r["size"]) if r["size"] else 0
+    assert +copies == collections.Counter((str(r.doc_id), str(r.source), len(words(r.text))) for r in kept.collect())
+    clashing = docs.withColumnsRenamed({"n_chars": "_h"}).selectExpr("*", "1 as size", "2 as target", "3 as _copy", "4 as _src")
+    assert keep_mixed(clashing).columns == clashing.columns and keep_mixed(clashing).count() == kept.count()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan       # texts stay where they are
+
 
 
 def test_secrets(spark):

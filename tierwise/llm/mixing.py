@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh_names, materialise, read_table
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -91,44 +91,58 @@ def _thresholds(docs: DataFrame, targets: DataFrame) -> DataFrame:
     return bound.select("_s", F.col("_prefix").alias("_cut_hash"), "_left", "_at")
 
 
+def _planned(documents: DataFrame, weights: Sequence[int], max_repeats: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, _h) per document, and (_src, source_size, target, _cut_hash, _left, _at) per source."""
+    docs = materialise(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                                        id_hash(F.col("doc_id")).alias("_h")), "mix_sizes")
+    targets = materialise(source_targets(docs, weights, max_repeats), "mix_targets")
+    cuts = materialise(_thresholds(docs, targets), "mix_cuts")
+    plan = targets.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").select(
+        F.col("source").alias("_src"), "source_size", "target", "_cut_hash", "_left", "_at")
+    return docs, plan
+
+
+def _taken(size: Column, h: Column, source_size: Column, target: Column, cut_hash: Column, left: Column, at: Column) -> Column:
+    """Words that the mix takes of a document, by its size and hash and its source's plan."""
+    repeats = F.coalesce(F.floor(target / F.nullif(source_size, F.lit(0))), F.lit(0))
+    share = F.floor(F.least(left / at, F.lit(1.0)) * size)
+    extra = F.when(cut_hash.isNull() | (h > cut_hash), F.lit(0)).when(h < cut_hash, size).otherwise(share)
+    return (repeats * size + extra).cast("long")
+
+
+_PLAN = ("source_size", "target", "_cut_hash", "_left", "_at")
+
+
 def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken), one row per document.
 
     ``taken`` is how many words of the document the mix holds, repeats counted; it is a whole multiple of
     ``size`` except at the boundary hash of its source.
     """
-    docs = materialise(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                                        id_hash(F.col("doc_id")).alias("_h")), "mix_sizes")
-    targets = materialise(source_targets(docs, weights, max_repeats), "mix_targets")
-    cuts = materialise(_thresholds(docs, targets), "mix_cuts")
-    plan = targets.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").withColumnRenamed("source", "_src")
-    out = docs.join(plan.drop("_s"), F.col("source").eqNullSafe(F.col("_src")), "inner")
-    repeats = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
-    share = F.floor(F.least(F.col("_left") / F.col("_at"), F.lit(1.0)) * F.col("size"))
-    extra = (F.when(F.col("_cut_hash").isNull() | (F.col("_h") > F.col("_cut_hash")), F.lit(0))
-             .when(F.col("_h") < F.col("_cut_hash"), F.col("size")).otherwise(share))
+    docs, plan = _planned(documents, weights, max_repeats)
+    out = docs.join(plan, F.col("source").eqNullSafe(F.col("_src")), "inner")
     return out.select("doc_id", "source", "size", "source_size", "target",
-                      (repeats * F.col("size") + extra).cast("long").alias("taken"))
+                      _taken(F.col("size"), F.col("_h"), *map(F.col, _PLAN)).alias("taken"))
 
 
 def op3_source_mix(spark, sf_dir: str) -> DataFrame:
-    from .common import read_table
     return mix(read_table(spark, sf_dir, "documents")).drop("source")
 
 
 def keep_mixed(documents: DataFrame) -> DataFrame:
-    """Documents as the mix holds them: each repeated as often as its taken words fill it, rounded."""
-    from .common import fresh_names
-    n, = fresh_names(documents, "_copies")
-    taken = mix(documents)
-    copies = F.when(F.col("size") > 0, F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).otherwise(0)
-    per_id = taken.groupBy(F.col("doc_id").alias("_mid"), F.col("source").alias("_msrc"), F.col("size").alias("_mn")) \
-        .agg(F.max(copies).cast("int").alias(n)).where(F.col(n) > 0)
-    cond = (documents["doc_id"].eqNullSafe(per_id["_mid"]) & documents["source"].eqNullSafe(per_id["_msrc"])
-            & (word_count(documents["text"]) == per_id["_mn"]))
-    joined = documents.join(per_id, cond, "inner")
-    return joined.select(*[documents[c] for c in documents.columns], F.explode(F.sequence(F.lit(1), per_id[n])).alias(n)) \
-        .drop(n)
+    """Documents as the mix holds them: each repeated as often as its taken words fill it, rounded.
+
+    A document's copies follow from its own id and text and its source's plan, so texts meet one row per source (sent to
+    the tasks while it is small) and are not shuffled. Documents without words are left out.
+    """
+    names = fresh_names(documents, "_src", *_PLAN, "_size", "_copy")
+    size, copy = F.col(names[-2]), names[-1]
+    plan = materialise(_planned(documents, WEIGHTS, MAX_REPEATS)[1], "mix_plan").toDF(*names[:-2])
+    joined = documents.withColumn(names[-2], word_count(F.col("text"))).join(
+        plan, F.col("source").eqNullSafe(F.col(names[0])), "inner")
+    taken = _taken(size, id_hash(F.col("doc_id")), *map(F.col, names[1:-2]))
+    copies = F.when(size > 0, F.floor((2 * taken + size) / (2 * size))).otherwise(0).cast("int")
+    return joined.select(*documents.columns, F.explode(F.array_repeat(F.lit(True), copies)).alias(copy)).drop(copy)
 
 
 OP3_SQL = r"""
