@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -178,3 +178,15 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def first_duplicated_key(df: DataFrame, key: str):
+    """The smallest key value that several rows hold (None without one)."""
+    return duplicates(df.where(F.col(key).isNotNull()), [key]).agg(F.min(key).alias("k")).first()["k"]
+
+
+def versions_of_key(df: DataFrame, key: str, value, newest: str) -> DataFrame:
+    """P10: the rows of one key, numbered from the newest as ``latest_update``.
+
+    The key is compared with a literal, so the scan skips row groups by their statistics, dictionaries and bloom filters.
+    """
+    order = Window.partitionBy(key).orderBy(F.col(newest).desc_nulls_first())
+    return df.where(F.col(key) == F.lit(value)).withColumn("latest_update", F.row_number().over(order))

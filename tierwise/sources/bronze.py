@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .records import csv_records
-from .schemas import AUDIT_COL, BRONZE, BRONZE_FILES, stored
+from .schemas import AUDIT_COL, BRONZE, BRONZE_FILES, LOOKUP_KEYS, stored
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -100,10 +101,19 @@ def with_audit(df: DataFrame) -> DataFrame:
     return df.withColumn(AUDIT_COL, F.localtimestamp())
 
 
+def lookup_options(columns: Iterable[str]) -> dict[str, str]:
+    """Parquet writer options that give ``columns`` a bloom filter per row group, sized by the values that it meets.
+
+    A lookup by such a key skips the row groups that don't hold it, however the rows are ordered.
+    """
+    keys = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return {**keys, "parquet.bloom.filter.adaptive.enabled": "true"} if keys else {}
+
+
 def write_layer(df: DataFrame, root: str, layer: str, table: str) -> str:
-    """Truncate-and-load one table as parquet under ``root/layer/table``."""
+    """Truncate-and-load one table as parquet under ``root/layer/table`` (S2/S3), its lookup keys with bloom filters (P10)."""
     path = os.path.join(root, layer, table)
-    df.write.mode("overwrite").parquet(path)
+    df.write.options(**lookup_options(c for c in LOOKUP_KEYS.get(table, ()) if c in df.columns)).mode("overwrite").parquet(path)
     return path
 
 

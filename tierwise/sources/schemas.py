@@ -31,6 +31,13 @@ BRONZE: dict[str, T.StructType] = {
     "erp_px_cat_g1v2": _struct(("id", S), ("cat", S), ("subcat", S), ("maintenance", S)),
 }
 
+# Keys by which single rows of a table (bronze or silver) are looked up.
+LOOKUP_KEYS: dict[str, tuple[str, ...]] = {
+    "crm_cust_info": ("cst_id", "cst_key"),
+    "crm_prd_info": ("prd_id", "prd_key"),
+    "crm_sales_details": ("sls_ord_num", "sls_cust_id"),
+}
+
 # Source file of each bronze table, relative to the landing folder. The
 # category file ships upper-case, so the name is configuration, not a guess.
 BRONZE_FILES: dict[str, str] = {
