@@ -223,3 +223,19 @@ def test_two_distinct_counts_match_count_distinct(spark):
     want = df.groupBy("k").agg(F.count_distinct("a").alias("n_first"), F.count_distinct("b").alias("n_second"),
                                F.sum("v").alias("s"), F.min("v").alias("lo"))
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_two_distinct_counts_deal_rows_over_tasks_by_their_number(spark, monkeypatch):
+    from tierwise.operators import analytics
+    monkeypatch.setattr(analytics, "ROWS_A_TASK", 100, raising=False)
+    # One key holds half of the rows; keys and counted values may be NULL.
+    rows = [(None if i % 7 == 0 else 1 if i % 2 else i % 50, None if i % 11 == 0 else f"o{i % 900}", i % 13 or None, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k int, a string, b int, v long")
+    got = analytics.two_distinct_counts(df, "k", "a", "b", {"s": (F.sum, F.col("v")), "hi": (F.max, F.col("v"))})
+    assert got.rdd.getNumPartitions() >= 40
+    want = {}
+    for k, a, b, v in rows:
+        x = want.setdefault(k, (set(), set(), []))
+        x[0].update({a} - {None}), x[1].update({b} - {None}), x[2].append(v)
+    assert {r["k"]: (r["n_first"], r["n_second"], r["s"], r["hi"]) for r in got.collect()} == {
+        k: (len(a), len(b), sum(v), max(v)) for k, (a, b, v) in want.items()}
