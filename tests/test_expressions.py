@@ -103,3 +103,28 @@ def test_average_order_value_truncates_then_rounds(spark):
     assert [r[0] for r in df.select(_average_per_order("s", "o", False)).collect()] == [Decimal("3.00"),
                                                                                          Decimal("0.00")]
     assert [r[0] for r in df.select(_average_per_order("s", "o", True)).collect()][0] == Decimal("3.50")
+
+
+def test_sales_lines_are_built_without_text_formatting_per_row(spark):
+    from tierwise.sources import testdata
+    orders = spark.createDataFrame([(1, 7, "1998-02-03"), (2, None, None)], "o_orderkey long, o_custkey long, o_orderdate string") \
+        .withColumn("o_orderdate", F.to_date("o_orderdate"))
+    part = spark.createDataFrame([(1, "red small gear")], "p_partkey long, p_name string")
+    lines = spark.createDataFrame([(1, 1, 2.0, 10.0, 0.06, 0.01, "1998-02-28"), (2, 9, 2.0, 10.0, 0.06, 0.01, None)],
+                                  "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, "
+                                  "l_tax double, l_shipdate string").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    got = testdata.crm_sales_details(lines, orders, part)
+    assert [tuple(r)[:6] for r in got.orderBy("sls_ord_num").collect()] == [
+        ("SO1", "RED-SMALL-GEAR", 7, 19980203, 19980228, 19980504), ("SO2", None, None, None, None, None)]
+    # The part's number is made once a part, below the join.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("upper(") > plan.index("Join")
+
+
+def test_date_to_int_and_customer_number_equal_the_text_forms(spark):
+    from tierwise.sources.testdata import _customer_number
+    days = spark.createDataFrame([("0001-01-01",), ("0999-12-31",), ("2024-02-29",), ("9999-12-31",), (None,)], "t string") \
+        .withColumn("d", F.to_date("t"))
+    assert days.where(~X.date_to_int("d").eqNullSafe(F.date_format("d", "yyyyMMdd").cast("int"))).count() == 0
+    keys = spark.createDataFrame([(0,), (7,), (12345678,), (123456789012,), (-5,), (None,)], "k long")
+    assert keys.where(~_customer_number(F.col("k")).eqNullSafe(F.format_string("AW%08d", "k"))).count() == 0
