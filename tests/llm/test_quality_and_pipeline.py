@@ -122,3 +122,21 @@ def test_split_by_keys_never_rules_out_a_key(spark):
     maybe = {r.id for r in maybe.collect()}
     assert set(range(0, 5000, 7)) <= maybe and len(maybe) < 900
     assert maybe | {r.id for r in other.collect()} == set(range(5000))
+
+
+def test_stages_give_arrow_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from tierwise.llm import common
+
+    class Pool:
+        n = 0
+
+        def release_unused(self):
+            self.n += 1
+
+    pool = Pool()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    batches = [pa.RecordBatch.from_arrays([pa.array([i])], names=["a"]) for i in range(3)]
+    assert list(common.released(iter)(iter(batches))) == batches
+    assert pool.n == 4

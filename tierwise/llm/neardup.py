@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (Words, bounded_batches, gram_hashes, materialise, mix64, read_table, signed,
-                     split_by_keys, text_buffers, text_slices)
+from .common import (
+    Words, bounded_batches, gram_hashes, materialise, mix64, read_table, released, signed, split_by_keys, text_buffers, text_slices,
+)
 from .graph import components
 
 BANDS, ROWS = 32, 4
@@ -152,11 +153,11 @@ def _verified(pairs: DataFrame, documents: DataFrame, width: int, threshold: int
     needed, _ = split_by_keys(documents.select("doc_id", "text"), F.col("doc_id"), ids, "_id")
     needed = needed.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
     kind = dict(documents.dtypes)["doc_id"]
-    sets = needed.mapInArrow(_blobs(width), f"doc_id {kind}, shingles binary")
+    sets = needed.mapInArrow(released(_blobs(width)), f"doc_id {kind}, shingles binary")
     sets = materialise(sets, "shingles")
     left, right = (sets.select(F.col("doc_id").alias(i), F.col("shingles").alias(x)) for i, x in (("a", "xa"), ("b", "xb")))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "xa", "xb")
-    return both.mapInArrow(_confirm(threshold), f"a {kind}, b {kind}").distinct()
+    return both.mapInArrow(released(_confirm(threshold)), f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, threshold: int = 80, bands: int = BANDS) -> DataFrame:
@@ -170,7 +171,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, threshold: int = 80, b
     bounded_batches(spark)
     kind = dict(documents.dtypes)["doc_id"]
     docs = documents.select("doc_id", "text")
-    sig = materialise(docs.mapInArrow(_signatures(width, bands), f"doc_id {kind}, n long, c1 long, c2 long, "
+    sig = materialise(docs.mapInArrow(released(_signatures(width, bands)), f"doc_id {kind}, n long, c1 long, c2 long, "
                                       "bands array<long>, sketch array<long>"), "signatures")
     reps = materialise(sig.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("c1", "c2", "n").agg(
         F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mark_by_keys, read_table, text_slices
+from .common import bounded_batches, mark_by_keys, read_table, released, text_slices
 
 SEQUENCE_TOKENS = 1024
 END_ID = 0
@@ -186,7 +186,7 @@ def pack(documents: DataFrame, capacity: int = SEQUENCE_TOKENS, docs_per_shard:
     rows = mark_by_keys(documents.select("doc_id", "text"), F.xxhash64("doc_id", "text"), alike, "many")
     rows = rows.select(F.pmod(F.xxhash64("doc_id", "text", F.when(F.col("many"), F.monotonically_increasing_id())),
                               F.lit(shards)).cast("int").alias("shard"), "doc_id", "text")
-    pieces = rows.mapInArrow(_cut(capacity, vocabulary, ranks),
+    pieces = rows.mapInArrow(released(_cut(capacity, vocabulary, ranks)),
                              f"shard int, doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                              "ids binary")
     return pieces.groupBy("shard").applyInArrow(

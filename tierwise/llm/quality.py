@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, read_table, split_by_keys, text_slices
+from .common import bounded_batches, materialise, read_table, released, split_by_keys, text_slices
 from .trigrams import BITS, MASK, Accumulator, counted
 
 SHARDS = 8
@@ -251,7 +251,7 @@ def _rows(documents: DataFrame) -> DataFrame:
 def pack_trigrams(documents: DataFrame) -> DataFrame:
     """The documents' trigram counts in slices and shards: the only pass over the texts."""
     bounded_batches(documents.sparkSession)
-    return materialise(_rows(documents).mapInArrow(_cut, _PACKED), "packed_trigrams")
+    return materialise(_rows(documents).mapInArrow(released(_cut), _PACKED), "packed_trigrams")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,11 +279,11 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def trusted_counts(packed: DataFrame, trusted: DataFrame) -> DataFrame:
     """(lang, gram, m) over the documents whose id is in ``trusted`` (column ``_trusted``)."""
-    names = packed.where(F.col("ids").isNotNull()).select("block", "ids").mapInArrow(_named, "block string, at int, o long")
+    names = packed.where(F.col("ids").isNotNull()).select("block", "ids").mapInArrow(released(_named), "block string, at int, o long")
     picks = names.join(trusted, F.col("o") == F.col("_trusted"), "left_semi").groupBy("block").agg(
         F.collect_list("at").alias("picks"))
     return packed.join(picks, "block").select("lang", "payload", "picks").mapInArrow(
-        _picked, "lang string, gram long, m long").groupBy("lang", "gram").agg(F.sum("m").alias("m"))
+        released(_picked), "lang string, gram long, m long").groupBy("lang", "gram").agg(F.sum("m").alias("m"))
 
 
 def log_likelihoods(packed: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
@@ -291,7 +291,7 @@ def log_likelihoods(packed: DataFrame, model: dict[str, DataFrame]) -> DataFrame
     shards = materialise(model_shards(model), "model_shards")
     partial = packed.join(shards, ["lang", "shard"], "left").select(
         "block", "lang", "docs", "ids", "payload", *[f"{k}_{x}" for k in _KINDS for x in "kv"]) \
-        .mapInArrow(_partial, "block string, lang string, ids binary, loglik binary, n binary")
+        .mapInArrow(released(_partial), "block string, lang string, ids binary, loglik binary, n binary")
     return partial.groupBy("block").applyInArrow(_sum_block, "o long, tag long, lang string, loglik double, n long")
 
 

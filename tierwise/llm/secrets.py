@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, read_table, text_slices
+from .common import bounded_batches, read_table, released, text_slices
 
 ASSIGN = re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"
                     r"[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -204,7 +204,7 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def identifier_dictionary(documents: DataFrame) -> bytes:
     """The most frequent identifiers around the measured strings of all documents, at most :data:`DICTIONARY_BYTES` bytes."""
     bounded_batches(documents.sparkSession)
-    counts = documents.select("text").mapInArrow(_identifiers, "word string, m long").groupBy("word").agg(F.sum("m").alias("m"))
+    counts = documents.select("text").mapInArrow(released(_identifiers), "word string, m long").groupBy("word").agg(F.sum("m").alias("m"))
     top = counts.where(F.col("m") > 1).orderBy(F.col("m").desc(), "word").limit(DICTIONARY_WORDS).collect()
     # Matches near the end of a dictionary cost least: the most frequent words come last.
     out = "\n".join(r["word"] for r in reversed(top)).encode()
@@ -248,7 +248,7 @@ def scan(documents: DataFrame) -> DataFrame:
     bounded_batches(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
     return documents.select("doc_id", "text").mapInArrow(
-        _scan(identifier_dictionary(documents)),
+        released(_scan(identifier_dictionary(documents))),
         f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long, "
         "n_base_novel long")
 
@@ -275,7 +275,7 @@ def mask_secrets(documents: DataFrame) -> DataFrame:
                 new = [None if t is None else mask(t, packer) for t in b.column("text").to_pylist()]
                 yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
 
-    out = documents.mapInArrow(run, documents.schema)
+    out = documents.mapInArrow(released(run), documents.schema)
     if "n_chars" in documents.columns:
         kind = dict(documents.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind))
